@@ -39,7 +39,7 @@ def month_end_owner(
         "id",
         F.col("owner.accountant").alias("accountant"),
         "start",
-        F.date_add(F.lead("start", 1, F.lit(today)).over(in_order), -1).alias("end"),
+        F.date_add(F.coalesce(F.lead("start", 1).over(in_order), F.lit(today)), -1).alias("end"),
     ).where(F.col("start") <= F.col("end"))
     months = held.withColumn(
         "month",

@@ -169,7 +169,7 @@ VIEWS: dict[str, str] = {
                case when user_id % 2 = 0 then 0 end as accountcount,
                cast(user_id % 10 as string) as cashentryavglines,
                'x' as freetextfield_01,
-               cast(max(event_id) as string) as lastcollected
+               cast(cast(max(ts) as date) as string) as lastcollected
         from {events} group by user_id, cast(ts as date)""",
 }
 
