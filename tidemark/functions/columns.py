@@ -73,6 +73,17 @@ def upper_trim(df: DataFrame, names: Iterable[str]) -> DataFrame:
     return df.withColumns({n: F.upper(F.trim(F.col(f"`{n}`"))) for n in found}) if found else df
 
 
+def trim_text(df: DataFrame, upper: Iterable[str] = ()) -> DataFrame:
+    """Trim the text columns and upper-case the named ones; types stay as they are."""
+    raised = set(matching(df.columns, upper))
+    trimmed = {}
+    for field in df.schema:
+        if isinstance(field.dataType, T.StringType):
+            value = F.trim(F.col(f"`{field.name}`"))
+            trimmed[field.name] = F.upper(value) if field.name in raised else value
+    return df.withColumns(trimmed) if trimmed else df
+
+
 def rename_columns(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
     """Rename by mapping; absent sources are ignored."""
     return df.withColumnsRenamed(dict(mapping)) if mapping else df

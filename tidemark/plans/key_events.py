@@ -248,7 +248,7 @@ def legislation_events(
     bounds: Bounds,
     today: date,
     startup_type: str = LEGISLATION_STARTUP_TYPE,
-    tie_breakers: Sequence[str] = (),
+    tie_breakers: Sequence[str] = ("divisioncode desc", "environment"),
 ) -> DataFrame:
     """Accounts whose newest division started from a legislation template.
 

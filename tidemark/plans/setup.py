@@ -7,7 +7,7 @@ step multiplies rows, and the division rows keep one partitioning throughout.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,6 +22,7 @@ from tidemark.fixed_values import (
     SAVES_STARTED,
     SETUP_SINCE,
 )
+from tidemark.functions.columns import trim_text
 from tidemark.functions.expressions import not_among, number_before_colon
 from tidemark.operators.latest import latest_record
 from tidemark.operators.ordered import running_total
@@ -45,11 +46,11 @@ SETUP_COLUMNS = [
 ]
 
 
-def setup_type() -> Column:
+def current_type() -> Column:
     return F.col("masterdatasetuptype")
 
 
-def setup_status() -> Column:
+def current_status() -> Column:
     return F.col("masterdatasetupstatus")
 
 
@@ -144,24 +145,24 @@ def temporary_divisions(
     setup: DataFrame, raw_divisions: DataFrame, tie_breakers: Sequence[str] = ()
 ) -> DataFrame:
     """Divisions whose latest raw copy is blocked."""
-    rows = raw_divisions.select(
-        "environment",
-        F.col("code").try_cast("int").alias("divisioncode"),
-        F.col("blockingstatus").try_cast("int").alias("blocking"),
-        F.col("cigcopytime").try_cast("timestamp_ntz").alias("copied"),
-        *tie_breakers,
+    rows = raw_divisions.withColumns(
+        {
+            "divisioncode": F.col("code").try_cast("int"),
+            "blocking": F.col("blockingstatus").try_cast("int"),
+            "copied": F.col("cigcopytime").try_cast("timestamp_ntz"),
+        }
     )
     latest = latest_record(rows, DIVISION, ["copied desc", *tie_breakers])
     blocked = latest.where(F.col("blocking") >= BLOCKED_FROM).select(*DIVISION, F.lit(True).alias("blocked"))
     joined = setup.join(blocked, DIVISION, "left")
     return assign(
-        joined, setup_type().isNull() & F.col("blocked"), masterdatasetuptype=F.lit("TemporaryDivision")
+        joined, current_type().isNull() & F.col("blocked"), masterdatasetuptype=F.lit("TemporaryDivision")
     ).drop("blocked")
 
 
 def by_startup_type(setup: DataFrame, code: str, setup_type: str) -> DataFrame:
     """Classify rows by their startup type alone."""
-    guard = setup_type().isNull() & (F.col("divisionstartuptypecode") == code)
+    guard = current_type().isNull() & (F.col("divisionstartuptypecode") == code)
     return assign(setup, guard, masterdatasetuptype=F.lit(setup_type))
 
 
@@ -186,7 +187,7 @@ def conversions(setup: DataFrame, conversion: DataFrame, divisions: DataFrame) -
     ).drop("sysmodified")
     joined = setup.join(newest, DIVISION, "left")
     guard = F.col("converted").isNotNull() & (
-        setup_type().isNull() | ((setup_type() == "Conversion") & not_among(setup_status(), ["Success", "Failure"]))
+        current_type().isNull() | ((current_type() == "Conversion") & not_among(current_status(), ["Success", "Failure"]))
     )
     status = (
         F.when(F.col("outcome") == "csHandedOver", "Success")
@@ -234,8 +235,8 @@ def transfers(setup: DataFrame, requests: DataFrame, executions: DataFrame) -> D
     ).drop("requestid", "request_realized")
     joined = setup.join(earliest, DIVISION, "left")
     guard = F.col("requested").isNotNull() & (
-        setup_type().isNull()
-        | ((setup_type() == "DivisionTransfer") & not_among(setup_status(), ["Success", "Failure", "Rejected"]))
+        current_type().isNull()
+        | ((current_type() == "DivisionTransfer") & not_among(current_status(), ["Success", "Failure", "Rejected"]))
     )
     rejected = F.col("request_status") == REJECTED_REQUEST_STATUS
     status = (
@@ -261,9 +262,9 @@ def imports(setup: DataFrame) -> DataFrame:
     An import may also replace a template or an empty start found earlier.
     """
     start, success = F.col("import_start"), F.col("import_success")
-    pending = (setup_type() == "XML/CSV_Import") & ~setup_status().eqNullSafe("Success")
+    pending = (current_type() == "XML/CSV_Import") & ~current_status().eqNullSafe("Success")
     guard = (start.isNotNull() | success.isNotNull()) & (
-        setup_type().isNull() | pending | setup_type().isin("ExactTemplate", "Empty")
+        current_type().isNull() | pending | current_type().isin("ExactTemplate", "Empty")
     )
     return assign(
         setup,
@@ -324,15 +325,15 @@ def _by_saves(many: str, some: str, none: str) -> Column:
 
 def template_divisions(setup: DataFrame) -> DataFrame:
     """Divisions started from the legislation template (after ``with_save_moments``)."""
-    pending = (setup_type() == "XML/CSV_Import") & ~setup_status().eqNullSafe("Success")
-    guard = (setup_type().isNull() | pending) & (F.col("divisionstartuptypecode") == "X")
+    pending = (current_type() == "XML/CSV_Import") & ~current_status().eqNullSafe("Success")
+    guard = (current_type().isNull() | pending) & (F.col("divisionstartuptypecode") == "X")
     status = _by_saves("GLChangesMade", "GLChangesStarted", "StandardTemplate")
     return assign(setup, guard, masterdatasetuptype=F.lit("ExactTemplate"), masterdatasetupstatus=status)
 
 
 def empty_divisions(setup: DataFrame) -> DataFrame:
     """Divisions started without master data (after ``with_save_moments``)."""
-    guard = setup_type().isNull() & (F.col("divisionstartuptypecode") == "E")
+    guard = current_type().isNull() & (F.col("divisionstartuptypecode") == "E")
     status = _by_saves("GLAccountsAdded", "GLAccountsStarted", "NoChanges")
     return assign(setup, guard, masterdatasetuptype=F.lit("Empty"), masterdatasetupstatus=status)
 
@@ -350,12 +351,18 @@ class SetupSources:
     transfer_requests: DataFrame
     transfer_executions: DataFrame
 
+    def cleaned(self) -> SetupSources:
+        """The same tables with trimmed text and environments in upper case."""
+        frames = {f.name: getattr(self, f.name) for f in fields(self)}
+        return SetupSources(**{n: trim_text(df, ["environment"]) for n, df in frames.items()})
+
 
 def master_data_setup(
     setup: DataFrame, sources: SetupSources, tie_breakers: Sequence[str] = ()
 ) -> DataFrame:
     """Run all rules in their order; the first that matches a division counts."""
-    s = sources
+    s = sources.cleaned()
+    setup = trim_text(setup, ["environment"])
     setup = add_divisions(setup, s.divisions, s.statistics, s.contracts)
     setup = refresh_owner(setup, s.divisions)
     setup = with_activity_facts(setup, s.activity)

@@ -79,9 +79,7 @@ def accountants_linked(spark, sf_dir):
 
 def newest_from_template(spark, sf_dir):
     divisions, summary = view(spark, sf_dir, "d_divisions"), view(spark, sf_dir, "d_summary")
-    return legislation_events(
-        divisions, summary, BOUNDS, TODAY, tie_breakers=["divisioncode desc"]
-    )
+    return legislation_events(divisions, summary, BOUNDS, TODAY)
 
 
 def all_events(spark, sf_dir):
