@@ -31,16 +31,27 @@ def matching(names: Iterable[str], patterns: Iterable[str]) -> list[str]:
     return [name for name in names if any(fnmatchcase(name.lower(), p) for p in lowered)]
 
 
+# Texts that Spark reads as a boolean.
+TRUE_TEXTS = ("t", "true", "y", "yes", "1")
+FALSE_TEXTS = ("f", "false", "n", "no", "0")
+WHOLE_NUMBER = r"^\s*[+-]?\d+(\.\d*)?\s*$"
+
+
 def cast_value(value: Column, sql_type: str, from_text: bool) -> Column:
     """Cast that gives NULL for unreadable values.
 
-    Whole-number targets also read text with a fraction, which is cut off.
+    Whole-number targets also read text with a fraction, which is cut off. Text
+    is tested before the cast to a whole number, and read as a boolean by
+    comparison: a failing ``try_cast`` to these types raises and catches an
+    error for each value, which costs far more than the test.
     """
-    cast = value.try_cast(sql_type)
     if from_text and sql_type in ("int", "bigint"):
-        whole = F.regexp_extract(value, r"^\s*([+-]?\d+)\.\d*\s*$", 1)
-        cast = F.coalesce(cast, whole.try_cast(sql_type))
-    return cast
+        whole = F.substring_index(value, ".", 1).try_cast(sql_type)
+        return F.when(value.rlike(WHOLE_NUMBER), whole)
+    if from_text and sql_type == "boolean":
+        text = F.lower(F.trim(value))
+        return F.when(text.isin(*TRUE_TEXTS), True).when(text.isin(*FALSE_TEXTS), False)
+    return value.try_cast(sql_type)
 
 
 def cast_columns(df: DataFrame, groups: Mapping[str, Iterable[str]]) -> DataFrame:

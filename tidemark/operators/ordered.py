@@ -135,21 +135,22 @@ def running_total(
     value: str,
     name: str,
     *,
+    detail: Sequence[str] = (),
     also: Mapping[str, Column] | None = None,
     task_rows: int = TASK_ROWS,
 ) -> DataFrame:
     """Total of ``value`` up to each ``order`` value; rows of one instant share it.
 
-    The input is reduced to one row per key and instant first, which gives the
-    same totals and shrinks the history inside the map tasks. The result has the
-    columns keys, order, ``name`` and one per aggregate in ``also``.
+    The input is reduced to one row per key, instant and ``detail`` first, which
+    gives the same totals and shrinks the history inside the map tasks. The
+    result has these columns, ``name`` and one per aggregate in ``also``.
     """
     extra = [aggregate.alias(column) for column, aggregate in (also or {}).items()]
-    instants = df.groupBy(*keys, order).agg(F.sum(value).alias(name), *extra)
+    instants = df.groupBy(*keys, order, *detail).agg(F.sum(value).alias(name), *extra)
 
     def total(rows: DataFrame, *parts: str) -> DataFrame:
         window = Window.partitionBy(*keys, *parts).orderBy(order)
-        upto = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        upto = window.rangeBetween(Window.unboundedPreceding, Window.currentRow)
         return rows.withColumn(name, F.sum(name).over(upto))
 
     # A key has at most as many instants as rows, so the rows are counted: that
@@ -157,6 +158,7 @@ def running_total(
     hot = hot_keys(df, keys, task_rows)
     if not hot:
         return total(instants)
+    # Rows of one instant have the same range bounds, so no cut parts them.
     pieces = _hot_pieces(instants, hot, [order])
     across = Window.partitionBy(*keys).orderBy(PIECE)
     edges = (

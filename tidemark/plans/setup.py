@@ -288,20 +288,17 @@ def save_moments(
     off at the save activity. One row per environment, account and division.
     """
     keys = ["accountcode", "divisioncode"]
-    saved = F.when(F.col("activityid") == save_activity, F.col("environment"))
     totals = running_total(
         activity,
         keys,
         "date",
         "quantity",
         "reached",
-        # The environments with a save at that moment; there are only a few.
-        also={"environments": F.collect_set(saved)},
+        detail=["environment"],
+        also={"saved": F.max(F.col("activityid") == save_activity)},
         task_rows=task_rows,
     )
-    reached = totals.where(F.col("reached").isNotNull()).withColumn(
-        "environment", F.explode("environments")
-    )
+    reached = totals.where(F.col("saved") & F.col("reached").isNotNull())
     return reached.groupBy("environment", *keys).agg(
         F.min("date").alias("firstsave"),
         F.min(F.when(F.col("reached") > threshold, F.col("date"))).alias("fifthsave"),
