@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.expressions import same_keys
 
-# A key is hot if it holds more rows than one task should handle and more than
-# this share of the table, so there are never more than 1 / HOT_SHARE hot keys.
+# The hot keys are the largest ones that hold more rows than one task should
+# handle. There are at most this many, so lists of them are small enough for the
+# driver and for a broadcast; any other key holds less than one row in a thousand.
 TASK_ROWS = 5_000_000
-HOT_SHARE = 0.001
+MOST_HOT_KEYS = 1_000
 
 ROWS = "_rows"
 HOT = "_hot_"
@@ -21,7 +22,7 @@ SALT = "_salt"
 
 
 class HotKeys:
-    """The hot keys of a table, at most ``1 / HOT_SHARE`` of them, with row counts."""
+    """The hot keys of a table, at most ``MOST_HOT_KEYS``, with their row counts."""
 
     def __init__(self, frame: DataFrame, keys: Sequence[str], rows: list[int], task_rows: int):
         self.frame = frame
@@ -54,14 +55,16 @@ class HotKeys:
 def hot_keys(df: DataFrame, keys: Sequence[str], task_rows: int = TASK_ROWS) -> HotKeys:
     """Count the rows per key and return the hot ones.
 
-    Reads the key columns only and counts inside the map tasks first.
+    Reads the key columns only and counts inside the map tasks first. Keys that
+    are not returned are handled the plain way, so nothing is left out.
     """
     narrow = df.select(*keys)
-    share = F.lit(HOT_SHARE) * narrow.agg(F.count(F.lit(1))).scalar()
     found = (
         narrow.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias(ROWS))
-        .where((F.col(ROWS) > task_rows) & (F.col(ROWS) > share))
+        .where(F.col(ROWS) > task_rows)
+        .orderBy(F.col(ROWS).desc())
+        .limit(MOST_HOT_KEYS)
         .collect()
     )
     values = [tuple(row[k] for k in keys) for row in found]

@@ -102,9 +102,10 @@ def refresh_owner(setup: DataFrame, divisions: DataFrame) -> DataFrame:
 def with_activity_facts(setup: DataFrame, activity: DataFrame) -> DataFrame:
     """Add the first access and the import moments of each division.
 
-    Access and imports count from the creation of the division on. The activity
-    is read once for both and reduced to one row per account, division and day
-    before the join.
+    Access and imports count from the creation of the division on and only for
+    its owner. The activity is read once for both and reduced to one row per
+    account, division and day before the join. A division has one owner here, so
+    the facts are joined on the division alone, which keeps its partitioning.
     """
     keys = ["accountid", "divisioncode"]
     kind = F.col("activityid")
@@ -122,14 +123,14 @@ def with_activity_facts(setup: DataFrame, activity: DataFrame) -> DataFrame:
     facts = (
         days.join(known, keys)
         .where(date >= F.col("divisioncreated"))
-        .groupBy(*DIVISION, "accountid")
+        .groupBy(*DIVISION)
         .agg(
             F.min(F.when(F.col("accessed"), date)).alias("first_access"),
             F.min(F.when(F.col("imported"), date)).alias("import_start"),
             F.max(F.when(F.col("import_succeeded"), date)).alias("import_success"),
         )
     )
-    return setup.join(facts, [*DIVISION, "accountid"], "left")
+    return setup.join(facts, DIVISION, "left")
 
 
 FACT_COLUMNS = ("first_access", "import_start", "import_success")
