@@ -104,7 +104,7 @@ def test_untyped_loader_orders_by_text(spark):
 def test_load_writes_the_stated_number_of_files(spark, tmp_path):
     raw = frame(spark, "id string, cigcopytime string", *[(str(i), "2020-01-01") for i in range(50)])
     path = tmp_path / "units"
-    load(raw, "units", str(path))
+    load(raw, "units", str(path), files=1)
     assert len(list(path.glob("*.parquet"))) == 1
     assert spark.read.parquet(str(path)).count() == 50
 

@@ -18,10 +18,29 @@ def test_latest_record(spark):
     ]
 
 
-def test_latest_record_limits_before_the_shuffle(spark):
+def test_latest_record_reduces_before_the_shuffle(spark):
     df = spark.range(100).withColumn("k", F.col("id") % 3)
-    plan = latest_record(df, ["k"], ["id desc"])._jdf.queryExecution().executedPlan().toString()
-    assert "WindowGroupLimit" in plan and "Partial" in plan
+
+    def plan(order):
+        return latest_record(df, ["k"], order)._jdf.queryExecution().executedPlan().toString()
+
+    assert "partial_max_by" in plan(["id desc"]) and "partial_min_by" in plan(["id"])
+    mixed = plan(["id desc", "k"])
+    assert "WindowGroupLimit" in mixed and "Partial" in mixed
+
+
+def test_latest_record_in_all_directions(spark):
+    df = frame(spark, "k int, a int, b int", (1, 1, 1), (1, 1, 2), (1, 2, 2), (1, 2, 3), (1, None, 4))
+
+    def first(*order):
+        return rows(latest_record(df, ["k"], order), "a", "b")
+
+    assert first("a desc", "b desc") == [(2, 3)]
+    assert first("a", "b") == [(None, 4)]
+    assert first("a desc", "b") == [(2, 2)]
+    assert first(F.col("a").asc_nulls_last(), "b desc") == [(1, 2)]
+    assert latest_record(df, ["k"], ["a desc", "b desc"]).columns == ["k", "a", "b"]
+    assert latest_record(df.select("k"), ["k"], ["k desc"]).count() == 1
 
 
 @pytest.fixture(scope="module")

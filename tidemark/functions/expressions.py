@@ -46,6 +46,11 @@ def not_among(value: Column, values: Iterable) -> Column:
     return value.isNull() | ~value.isin(*values)
 
 
+def ntz(value) -> Column:
+    """A date or time without zone as a constant, whatever the zone of the session."""
+    return F.lit(str(value)).cast("timestamp_ntz")
+
+
 def same_keys(left, right, keys: Iterable[str], right_prefix: str = "") -> Column:
     """Null-safe equality of all keys, so that NULL keys form a group as well."""
     return reduce(and_, [left[k].eqNullSafe(right[right_prefix + k]) for k in keys])

@@ -8,26 +8,47 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 RANK = "_rank"
+PICKED = "_picked"
+# Up to this many columns besides the keys an aggregation was 1.2 to 2.6 times as
+# fast as the ranking; with 60 columns, which it copies for every row, six times
+# as slow.
+NARROW = 8
 
 
-def sort_columns(order: Sequence[str | Column]) -> list[Column]:
-    """Turn ``"copied desc"`` and ``"id"`` into sort columns."""
-    columns = []
-    for term in order:
-        if isinstance(term, Column):
-            columns.append(term)
-            continue
-        name, _, direction = term.partition(" ")
-        columns.append(F.col(name).desc() if direction == "desc" else F.col(name).asc())
-    return columns
+def sort_column(term: str) -> Column:
+    """Turn ``"copied desc"`` or ``"id"`` into a sort column."""
+    name, _, direction = term.partition(" ")
+    return F.col(name).desc() if direction == "desc" else F.col(name).asc()
 
 
 def latest_record(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
     """Keep the first row of each key in the given order.
 
-    Spark applies the limit of one row per key inside every map task as well
-    (WindowGroupLimit), so a key sends at most one row per task through the
-    shuffle, however many copies it has. The order should end in a tie-breaker.
+    The order holds names, ``"name desc"`` or sort columns, NULLs being the
+    smallest values, and should end in a tie-breaker. Either way each map task
+    sends at most one row per key through the shuffle, however many copies a key
+    has: few columns in an order of one direction are aggregated, which needs no
+    sort by the order; otherwise the rows are ranked, which Spark limits before the
+    shuffle as well (WindowGroupLimit).
     """
-    window = Window.partitionBy(*keys).orderBy(*sort_columns(order))
+    terms = [term.partition(" ") for term in order if isinstance(term, str)]
+    directions = {direction or "asc" for _, _, direction in terms}
+    narrow = len(df.columns) - len(keys) <= NARROW
+    if narrow and len(terms) == len(order) and len(directions) == 1:
+        return _picked(df, keys, [name for name, _, _ in terms], directions == {"desc"})
+    columns = [sort_column(term) if isinstance(term, str) else term for term in order]
+    window = Window.partitionBy(*keys).orderBy(*columns)
     return df.withColumn(RANK, F.row_number().over(window)).where(F.col(RANK) == 1).drop(RANK)
+
+
+def _picked(df: DataFrame, keys: Sequence[str], order: Sequence[str], largest: bool) -> DataFrame:
+    lowered = {key.lower() for key in keys}
+    rest = [F.col(f"`{name}`") for name in df.columns if name.lower() not in lowered]
+    pick = F.max_by if largest else F.min_by
+    best = pick(F.struct(*rest), F.struct(*order)) if rest else F.count(F.lit(1))
+    picked = df.groupBy(*keys).agg(best.alias(PICKED))
+    columns = [
+        F.col(f"`{name}`") if name.lower() in lowered else F.col(f"{PICKED}.`{name}`").alias(name)
+        for name in df.columns
+    ]
+    return picked.select(*columns)

@@ -30,7 +30,7 @@ from tidemark.fixed_values import (
     SUMMED_EVENTS,
 )
 from tidemark.functions.columns import cast_columns
-from tidemark.functions.expressions import zero_if_null
+from tidemark.functions.expressions import ntz, zero_if_null
 from tidemark.operators.latest import latest_record
 from tidemark.operators.skew import salted_join
 from tidemark.sources.tables import union_by_name
@@ -67,9 +67,9 @@ class Bounds:
     after: Mapping[str, date | datetime | None]
 
     def hold(self, event: str, moment: Column) -> Column:
-        inside = moment <= F.lit(self.until).cast("timestamp_ntz")
+        inside = moment <= ntz(self.until)
         start = self.after.get(event)
-        return inside if start is None else inside & (moment > F.lit(start))
+        return inside if start is None else inside & (moment > ntz(start))
 
 
 def contract_accounts(summary: DataFrame, accounts: DataFrame) -> DataFrame:

@@ -16,7 +16,7 @@ from tidemark.fixed_values import (
     NO_NEIGHBOUR_TIME,
 )
 from tidemark.functions.columns import cast_columns, upper_trim
-from tidemark.functions.expressions import year_month
+from tidemark.functions.expressions import ntz, year_month
 from tidemark.operators.ordered import with_neighbours
 from tidemark.operators.skew import TASK_ROWS
 
@@ -43,7 +43,7 @@ def _with_history(raw: DataFrame, tie_breakers: Sequence[str], task_rows: int) -
         },
     )
     typed = upper_trim(typed, ["environment"]).withColumn("code", F.trim(F.col("code").cast("string")))
-    code, time = F.lit(NO_NEIGHBOUR_CODE), F.lit(NO_NEIGHBOUR_TIME).cast("timestamp_ntz")
+    code, time = F.lit(NO_NEIGHBOUR_CODE), ntz(NO_NEIGHBOUR_TIME)
     return with_neighbours(
         typed,
         ["code", "environment"],
@@ -66,7 +66,7 @@ def _with_history(raw: DataFrame, tie_breakers: Sequence[str], task_rows: int) -
 
 def _is_change() -> Column:
     """Rows at which something begins or turns, and the first two of a history."""
-    no_row, no_time = F.lit(NO_NEIGHBOUR_CODE), F.lit(NO_NEIGHBOUR_TIME).cast("timestamp_ntz")
+    no_row, no_time = F.lit(NO_NEIGHBOUR_CODE), ntz(NO_NEIGHBOUR_TIME)
     blocking, blocking_before = F.col("blockingstatus"), F.col("blocking_before")
     status, status_before = F.col("status"), F.col("status_before")
 
@@ -105,7 +105,7 @@ def classified_changes(
     after_start = copied > F.lit(HISTORY_START)
     after_or_us = after_start | started_us
 
-    real = F.lit(EARLIEST_REAL_TIME).cast("timestamp_ntz")
+    real = ntz(EARLIEST_REAL_TIME)
     is_blocked = F.col("blockingstatus") == BLOCKED
     newly_blocked = is_blocked & (F.col("blocking_before") == OPEN)
     fully_blocked = is_blocked & (F.col("blocking_before") == PARTLY_BLOCKED)

@@ -93,7 +93,7 @@ def write_requests(
         return [
             table.name
             for table in tables
-            if write_if_any(request_table(latest, table), table.destination, files=1)
+            if write_if_any(request_table(latest, table), table.destination)
         ]
     finally:
         latest.unpersist()

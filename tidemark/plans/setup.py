@@ -23,7 +23,7 @@ from tidemark.fixed_values import (
     SETUP_SINCE,
 )
 from tidemark.functions.columns import trim_text
-from tidemark.functions.expressions import not_among, number_before_colon
+from tidemark.functions.expressions import not_among, ntz, number_before_colon
 from tidemark.operators.latest import latest_record
 from tidemark.operators.ordered import running_total
 from tidemark.operators.skew import TASK_ROWS
@@ -67,7 +67,7 @@ def add_divisions(
     Only those count whose trial or contract, or the division itself, started
     in the period the table covers.
     """
-    since = F.lit(SETUP_SINCE).cast("timestamp_ntz")
+    since = ntz(SETUP_SINCE)
     started = F.when(F.col("hadtrial") == 1, F.col("firsttrialstartdate")).otherwise(
         F.col("firstcommstartdate")
     )

@@ -74,7 +74,8 @@ class VersionedTable:
         """Write and expose a new version, then remove all but the newest ``keep``."""
         numbers = [int(name.split("=")[1]) for name in self._versions()]
         name = f"version={max(numbers, default=0) + 1:012d}"
-        write_table(df, f"{self.root}/{name}", files)
+        sized = df if files is None else df.repartition(files)
+        sized.write.mode("errorifexists").parquet(f"{self.root}/{name}")
         touch(self.spark, f"{self.root}/{name}/{self.MARKER}")
         for old in self._published()[:-keep]:
             remove_folder(self.spark, f"{self.root}/{old}")
