@@ -54,17 +54,39 @@ def cast_value(value: Column, sql_type: str, from_text: bool) -> Column:
     return value.try_cast(sql_type)
 
 
-def cast_columns(df: DataFrame, groups: Mapping[str, Iterable[str]]) -> DataFrame:
-    """Cast columns by group: ``{"integer": ["hid"], "date": ["*day"]}``."""
+def casts_by_column(
+    names: Iterable[str], groups: Mapping[str, Iterable[str]]
+) -> dict[str, list[str]]:
+    """The casts each column goes through: ``{"integer": ["hid"], "date": ["*day"]}``."""
     unknown = set(groups) - set(TYPE_GROUPS)
     if unknown:
         raise ValueError(f"unknown type groups: {sorted(unknown)}")
-    values: dict[str, Column] = {}
-    is_text = {field.name: isinstance(field.dataType, T.StringType) for field in df.schema}
+    names = list(names)
+    casts: dict[str, list[str]] = {}
     for group, sql_type in TYPE_GROUPS.items():
-        for name in matching(df.columns, groups.get(group, ())):
-            values[name] = cast_value(values.get(name, F.col(f"`{name}`")), sql_type, is_text[name])
-            is_text[name] = False
+        for name in matching(names, groups.get(group, ())):
+            casts.setdefault(name, []).append(sql_type)
+    return casts
+
+
+def cast_all(value: Column, sql_types: Iterable[str], from_text: bool) -> Column:
+    """Several casts one after the other."""
+    for sql_type in sql_types:
+        value, from_text = cast_value(value, sql_type, from_text), False
+    return value
+
+
+def text_columns(df: DataFrame) -> set[str]:
+    return {field.name for field in df.schema if isinstance(field.dataType, T.StringType)}
+
+
+def cast_columns(df: DataFrame, groups: Mapping[str, Iterable[str]]) -> DataFrame:
+    """Cast columns by group: ``{"integer": ["hid"], "date": ["*day"]}``."""
+    text = text_columns(df)
+    values = {
+        name: cast_all(F.col(f"`{name}`"), sql_types, name in text)
+        for name, sql_types in casts_by_column(df.columns, groups).items()
+    }
     return df.withColumns(values) if values else df
 
 
@@ -88,10 +110,9 @@ def trim_text(df: DataFrame, upper: Iterable[str] = ()) -> DataFrame:
     """Trim the text columns and upper-case the named ones; types stay as they are."""
     raised = set(matching(df.columns, upper))
     trimmed = {}
-    for field in df.schema:
-        if isinstance(field.dataType, T.StringType):
-            value = F.trim(F.col(f"`{field.name}`"))
-            trimmed[field.name] = F.upper(value) if field.name in raised else value
+    for name in text_columns(df):
+        value = F.trim(F.col(f"`{name}`"))
+        trimmed[name] = F.upper(value) if name in raised else value
     return df.withColumns(trimmed) if trimmed else df
 
 
