@@ -1,9 +1,11 @@
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.frames import day, frame, rows, time
 from tidemark.fixed_values import CHANGE_COUNTERS
+from tidemark.plans.jobs import run_daily_changes, run_daily_statistics, run_glitch_repair, run_summary
 from tidemark.plans.lifecycle import lifecycle_log
 from tidemark.plans.ownership import month_end_owner
 from tidemark.plans.statistics import (
@@ -14,6 +16,7 @@ from tidemark.plans.statistics import (
     zero_glitch_repair,
     zero_glitch_rows,
 )
+from tidemark.sources.sinks import VersionedTable, Watermarks
 
 RAW_STATISTICS = (
     "environment string, division string, cigcopytime string, banklinkscount string, rabobanklinks long,"
@@ -67,6 +70,48 @@ def test_daily_statistics(spark):
     assert dict(found.dtypes)["cashentryavglines"] == "float"
 
 
+def test_daily_jobs(spark, tmp_path):
+    path = str(tmp_path / "daily")
+    counts = {"1": (5, 0, 5), "2": (5, 1, 5)}
+    data = [
+        raw_row(division, f"2024-01-0{number + 2} 01:00:00", str(count)) + (None, 0)
+        for division, values in counts.items()
+        for number, count in enumerate(values)
+    ]
+    raw = frame(spark, RAW_STATISTICS + ", vattransactions long, accountcount long", *data)
+    for number in (2, 3, 4):
+        run_daily_statistics(raw, path, date(2024, 1, number))
+    assert spark.read.parquet(path).count() == 6
+    run_glitch_repair(spark, path, date(2024, 1, 3), str(tmp_path / "staging"))
+    daily = spark.read.parquet(path)
+    assert rows(daily.where("date = date '2024-01-02'"), "divisioncode", "Day") == [(2, 2)]
+    assert daily.count() == 5
+    all_counters = {c: F.lit(None).cast("bigint") for c in CHANGE_COUNTERS if c not in daily.columns}
+    run_daily_changes(daily.withColumns(all_counters), str(tmp_path / "changes"))
+    changes = spark.read.parquet(str(tmp_path / "changes"))
+    assert rows(changes, "divisioncode", "gltransactionscount", "Date") == [
+        (1, 0, day("2024-01-03")),
+        (2, 4, day("2024-01-03")),
+    ]
+
+
+def test_summary_job(spark, tmp_path):
+    summary, marks = VersionedTable(spark, str(tmp_path / "s")), Watermarks(spark, str(tmp_path / "m"))
+    schema = "environment string, divisioncode long, gltransactionscount long"
+    summary.publish(frame(spark, schema, ("NL", 1, 1), ("NL", 3, 3)))
+    marks.store({"DivisionStatistics_Summary": date(2024, 1, 1)})
+    raw = frame(
+        spark,
+        RAW_STATISTICS,
+        raw_row("1", "2024-01-02 05:00:00", "5"),
+        raw_row("3", "2024-01-01 05:00:00", "6"),
+    )
+    for _ in range(2):
+        run_summary(raw, summary, marks, date(2024, 1, 2))
+        assert rows(summary.read(), "divisioncode", "gltransactionscount") == [(1, 5), (3, 3)]
+    assert marks.get("DivisionStatistics_Summary") == date(2024, 1, 2)
+
+
 DAILY = "environment string, divisioncode long, date date, gltransactionscount long, vattransactions long, accountcount long"
 
 

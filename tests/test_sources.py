@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.frames import frame, rows
-from tidemark.plans.privacy import rewrite_partitions, update_deletion_log
+from tidemark.plans.privacy import erase_accounts, mask_divisions, rewrite_history, run_erasure, update_deletion_log
 from tidemark.sources.ingest import (
     SourceTable,
     day_folders,
@@ -14,7 +14,14 @@ from tidemark.sources.ingest import (
     ingest_table,
     tables_from_settings,
 )
-from tidemark.sources.sinks import VersionedTable, Watermarks, write_if_any, write_partitions
+from tidemark.sources.sinks import (
+    VersionedTable,
+    Watermarks,
+    replace_partition,
+    rewrite_partitions,
+    write_if_any,
+    write_partitions,
+)
 from tidemark.sources.tables import days_between, on_day, read_table, union_by_name
 
 COPIED = datetime(2024, 2, 3, 6, 0)
@@ -148,10 +155,62 @@ def test_deletion_log_catches_up_and_moves_the_watermark(spark, tmp_path):
 
 def test_rewrite_partitions_of_the_table_that_is_read(spark, tmp_path):
     path, staging = str(tmp_path / "t"), str(tmp_path / "staging")
-    write_partitions(frame(spark, "v int, d int", (1, 1), (2, 2), (3, 2)), path, ["d"])
-    changed = spark.read.parquet(path).where("d = 2 and v <> 3")
-    rewrite_partitions(spark, path, changed, ["d"], staging)
+    write_partitions(frame(spark, "v int, d int", (1, 1), (2, 2), (3, 2), (3, 3)), path, ["d"])
+    df = spark.read.parquet(path)
+    untouched = (tmp_path / "t" / "d=1").stat().st_mtime_ns
+    touched = df.where("v = 3").select("d")
+    rewrite_partitions(spark, path, df.where("v <> 3"), touched, ["d"], staging)
     assert rows(spark.read.parquet(path), "v", "d") == [(1, 1), (2, 2)]
+    assert (tmp_path / "t" / "d=1").stat().st_mtime_ns == untouched
+    assert not (tmp_path / "t" / "d=3").exists()
+
+
+def test_replace_partition_by_no_rows(spark, tmp_path):
+    path = str(tmp_path / "t")
+    write_partitions(frame(spark, "v int, d int", (1, 1), (2, 2)), path, ["d"])
+    none = spark.read.parquet(path).where("d = 2 and v > 5")
+    replace_partition(spark, path, none, {"d": 2}, str(tmp_path / "staging"))
+    assert rows(spark.read.parquet(path), "v", "d") == [(1, 1)]
+
+
+INGESTED = "id string, customer string, description string, cigcopytime string, ingestionyear int, ingestionmonth int, ingestionday int"
+
+
+def ingested(spark, path):
+    data = [
+        ("a", "c1", "one", "2024-01-01 05:00:00", 2024, 1, 1),
+        ("a", "c1", "two", "2024-01-02 05:00:00", 2024, 1, 2),
+        ("b", "c2", "three", "2024-01-02 05:00:00", 2024, 1, 2),
+        ("b", "c2", "four", "2024-01-03 05:00:00", 2024, 1, 3),
+    ]
+    write_partitions(frame(spark, INGESTED, *data), path, ["ingestionyear", "ingestionmonth", "ingestionday"])
+
+
+def test_erasure_of_a_stored_table(spark, tmp_path):
+    path, marks = str(tmp_path / "raw"), Watermarks(spark, str(tmp_path / "marks"))
+    ingested(spark, path)
+    log = frame(spark, "accountid string, year int, month int, day int", ("a", 2024, 2, 1), ("b", 2024, 3, 1))
+    run = (log, "id", erase_accounts, marks, "erase", date(2024, 2, 10))
+    run_erasure(spark, path, *run, str(tmp_path / "s1"))
+    kept = [("a", "two", "2024-01-02 05:00:00"), ("b", "four", "2024-01-03 05:00:00"), ("b", "three", "2024-01-02 05:00:00")]
+    assert rows(spark.read.parquet(path), "id", "description", "cigcopytime") == kept
+    assert marks.get("erase") == date(2024, 2, 10)
+    # Nothing is logged since, so nothing is staged.
+    run_erasure(spark, path, *run, str(tmp_path / "s2"))
+    assert not (tmp_path / "s2").exists()
+
+
+def test_masking_of_a_stored_table(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    ingested(spark, path)
+    ids = frame(spark, "accountid string", ("c2",))
+
+    def mask(raw, listed):
+        absent = ["chamberofcommerce", "city", "postcode", "dunsnumber", "website"]
+        return mask_divisions(raw.withColumns({n: F.lit("x") for n in absent}), listed).drop(*absent)
+
+    rewrite_history(spark, path, ids, "customer", mask, str(tmp_path / "s"))
+    assert rows(spark.read.parquet(path), "id", "description") == [("a", "one"), ("a", "two"), ("b", "####"), ("b", "####")]
 
 
 def test_union_by_name(spark):

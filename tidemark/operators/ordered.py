@@ -33,11 +33,11 @@ def _hot_pieces(df: DataFrame, hot, order: Sequence[str]) -> DataFrame:
 
 
 def _attach_edges(rows: DataFrame, edges: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Add the piece summaries. There is one per piece and per key that a piece
-    shares with another, so at most pieces + hot keys rows are broadcast."""
+    """Add the piece summaries, one per piece and key in it. No key has more than
+    one piece per task in a piece, so Spark may join them by either method."""
     join_keys = [*keys, PIECE]
     renamed = edges.select([F.col(c).alias(EDGE + c) for c in edges.columns])
-    joined = rows.join(F.broadcast(renamed), same_keys(rows, renamed, join_keys, EDGE), "left")
+    joined = rows.join(renamed, same_keys(rows, renamed, join_keys, EDGE), "left")
     return joined.drop(*[EDGE + k for k in join_keys])
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.fixed_values import MASKED_COLUMNS
 from tidemark.functions.columns import cast_columns
 from tidemark.operators.erasure import erase_history, listed_rows, mask_columns, stale_files
-from tidemark.sources.sinks import VersionedTable, Watermarks, write_partitions
+from tidemark.sources.sinks import Watermarks, rewrite_partitions, write_partitions
 from tidemark.sources.tables import INGESTION_DAY, days_between, with_file_path
 
 LOG_DAY = ("year", "month", "day")
@@ -99,25 +99,38 @@ def stale_history_files(
     return stale_files(with_file_path(raw), "id", ids, [*NEWEST_COPY, *ties], id_column)
 
 
-def publish_erased(
-    table: VersionedTable, erased: DataFrame, watermarks: Watermarks, item: str, until: date
+def rewrite_history(
+    spark: SparkSession,
+    path: str,
+    ids: DataFrame,
+    id_column: str,
+    change: Callable[[DataFrame, DataFrame], DataFrame],
+    staging: str,
+    parts: Sequence[str] = INGESTION_DAY,
 ) -> None:
-    """Publish an erased table without a trace of older versions, then move the watermark."""
-    table.publish(erased, keep=1)
-    watermarks.store({item: until})
+    """Apply an erasure or masking to a stored table, in the days that hold listed ids.
 
+    ``change`` is one of the functions above, such as ``erase_accounts``; it
+    sees the whole history, but other days are neither computed nor written.
+    """
+    raw = spark.read.parquet(path)
+    touched = listed_rows(raw, id_column, ids).select(*parts).distinct()
+    rewrite_partitions(spark, path, change(raw, ids), touched, parts, staging)
 
-def rewrite_partitions(
+
+def run_erasure(
     spark: SparkSession,
     path: str,
-    changed: DataFrame,
-    parts: Sequence[str],
+    log: DataFrame,
+    id_column: str,
+    change: Callable[[DataFrame, DataFrame], DataFrame],
+    watermarks: Watermarks,
+    item: str,
+    until: date,
     staging: str,
 ) -> None:
-    """Replace partitions of a table by rows that were computed from it.
-
-    The rows are written to a staging folder first, because the table is read
-    while they are computed. Only partitions that occur in them are replaced.
-    """
-    changed.write.mode("overwrite").partitionBy(*parts).parquet(staging)
-    write_partitions(spark.read.parquet(staging), path, parts)
+    """Erase the ids logged since the last run from a table, then move the watermark."""
+    ids = pending_ids(log, watermarks.get(item), until)
+    if not ids.isEmpty():
+        rewrite_history(spark, path, ids, id_column, change, staging)
+    watermarks.store({item: until})

@@ -148,11 +148,13 @@ def summary_upsert(
     if until is not None:
         raw = days_between(raw, after, until)
         order = [F.make_date(*[F.col(p).try_cast("int") for p in INGESTION_DAY]).desc(), *order]
+    # Only what the choice depends on is typed in all rows, the rest in one per division.
     raw = upper_trim(add_missing_columns(raw, LATER_COUNTERS, "bigint"), ["environment"])
-    raw = cast_columns(raw, statistics_types(raw.columns))
+    raw = cast_columns(raw, {"timestamp": ["cigcopytime"], "long": ["division"]})
     newest = latest_record(raw, ["environment", "division"], order)
-    newest = with_bank_link(newest.withColumnRenamed("division", "divisioncode"))
     newest = drop_columns(newest, FREE_FIELDS)
+    newest = cast_columns(newest, statistics_types(newest.columns))
+    newest = with_bank_link(newest.withColumnRenamed("division", "divisioncode"))
     old = summary.withColumn("_order", F.lit(1))
     new = newest.withColumn("_order", F.lit(2))
     united = old.unionByName(new, allowMissingColumns=True)

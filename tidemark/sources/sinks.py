@@ -38,6 +38,39 @@ def write_if_any(df: DataFrame, path: str, files: int | None = None) -> bool:
     return True
 
 
+def rewrite_partitions(
+    spark: SparkSession,
+    path: str,
+    result: DataFrame,
+    touched: DataFrame,
+    parts: Sequence[str],
+    staging: str,
+) -> None:
+    """Replace the touched partitions of a table by rows that were computed from it.
+
+    The rows are staged in a new folder first, because the table is read while they
+    are computed. ``touched`` lists the partitions, a row each; those without any
+    row left are removed.
+    """
+    touched = touched.distinct()
+    changed = result.join(touched, list(parts), "left_semi")
+    changed.write.mode("errorifexists").partitionBy(*parts).parquet(staging)
+    staged = spark.read.schema(result.schema).parquet(staging)
+    emptied = touched.join(staged.select(*parts), list(parts), "left_anti").select(*parts).collect()
+    write_partitions(staged, path, parts)
+    for row in emptied:
+        remove_folder(spark, "/".join([path.rstrip("/"), *(f"{p}={row[p]}" for p in parts)]))
+
+
+def replace_partition(
+    spark: SparkSession, path: str, rows: DataFrame, values: Mapping[str, object], staging: str
+) -> None:
+    """Replace one partition by rows computed from the table, even by none."""
+    rows.drop(*values).write.mode("errorifexists").parquet(staging)
+    folder = "/".join([path.rstrip("/"), *(f"{name}={value}" for name, value in values.items())])
+    write_table(spark.read.parquet(staging), folder)
+
+
 class VersionedTable:
     """A table that a job may read and replace in one run.
 
