@@ -17,6 +17,7 @@ from tidemark.sources.ingest import (
 from tidemark.sources.sinks import (
     VersionedTable,
     Watermarks,
+    in_partitions,
     replace_partition,
     rewrite_partitions,
     write_if_any,
@@ -165,6 +166,16 @@ def test_rewrite_partitions_of_the_table_that_is_read(spark, tmp_path):
     assert not (tmp_path / "t" / "d=3").exists()
 
 
+def test_untouched_days_are_read_for_the_listed_ids_only(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    ingested(spark, path)
+    erased = erase_accounts(spark.read.parquet(path), frame(spark, "id string", ("a",)))
+    plan = scans(erased.where(in_partitions(["ingestionyear", "ingestionmonth", "ingestionday"], [(2024, 1, 1)])))
+    filters = [part.split("PushedFilters")[0] for part in plan.split("PartitionFilters: ")[1:]]
+    assert ["concat_ws" in text for text in filters].count(True) == 1
+    assert len(filters) == 2
+
+
 def test_replace_partition_by_no_rows(spark, tmp_path):
     path = str(tmp_path / "t")
     write_partitions(frame(spark, "v int, d int", (1, 1), (2, 2)), path, ["d"])

@@ -110,8 +110,9 @@ def rewrite_history(
 ) -> None:
     """Apply an erasure or masking to a stored table, in the days that hold listed ids.
 
-    ``change`` is one of the functions above, such as ``erase_accounts``; it
-    sees the whole history, but other days are neither computed nor written.
+    ``change`` is one of the functions above, such as ``erase_accounts``. The latest
+    record is chosen from the whole history of the listed ids; of all other rows
+    only the touched days are read and written.
     """
     raw = spark.read.parquet(path)
     touched = listed_rows(raw, id_column, ids).select(*parts).distinct()

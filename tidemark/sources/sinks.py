@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.sources.files import child_names, path_exists, remove_folder, touch
@@ -38,6 +38,12 @@ def write_if_any(df: DataFrame, path: str, files: int | None = None) -> bool:
     return True
 
 
+def in_partitions(parts: Sequence[str], values: Sequence[Sequence]) -> Column:
+    """Rows of the listed partitions; prunes folders wherever Spark can push it down."""
+    key = F.concat_ws("/", *[F.col(part).cast("string") for part in parts])
+    return key.isin(["/".join(str(v) for v in row) for row in values])
+
+
 def rewrite_partitions(
     spark: SparkSession,
     path: str,
@@ -49,17 +55,20 @@ def rewrite_partitions(
     """Replace the touched partitions of a table by rows that were computed from it.
 
     The rows are staged in a new folder first, because the table is read while they
-    are computed. ``touched`` lists the partitions, a row each; those without any
-    row left are removed.
+    are computed. ``touched`` lists the partitions, a row each, of which there is one
+    per stored folder; those without any row left are removed.
     """
-    touched = touched.distinct()
-    changed = result.join(touched, list(parts), "left_semi")
+    listed = [tuple(row) for row in touched.select(*parts).distinct().collect()]
+    if not listed:
+        return
+    changed = result.where(in_partitions(parts, listed))
     changed.write.mode("errorifexists").partitionBy(*parts).parquet(staging)
     staged = spark.read.schema(result.schema).parquet(staging)
-    emptied = touched.join(staged.select(*parts), list(parts), "left_anti").select(*parts).collect()
+    left = {tuple(row) for row in staged.select(*parts).distinct().collect()}
     write_partitions(staged, path, parts)
-    for row in emptied:
-        remove_folder(spark, "/".join([path.rstrip("/"), *(f"{p}={row[p]}" for p in parts)]))
+    for values in set(listed) - left:
+        folder = "/".join(f"{part}={value}" for part, value in zip(parts, values))
+        remove_folder(spark, f"{path.rstrip('/')}/{folder}")
 
 
 def replace_partition(
