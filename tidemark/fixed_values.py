@@ -176,10 +176,24 @@ SAVES_STARTED = 5
 BLOCKED_FROM = 100
 REJECTED_REQUEST_STATUS = 5
 
+# Setup types.
+ACCOUNTANT_TEMPLATE = "AccountantTemplate"
+CONVERSION = "Conversion"
+COPY = "DivisionCopy"
+DEMO = "Demo"
+EMPTY = "Empty"
+IMPORT = "XML/CSV_Import"
+TEMPLATE = "ExactTemplate"
+TEMPORARY = "TemporaryDivision"
+TRANSFER = "DivisionTransfer"
+
 # Columns masked for erased accounts, and the mask.
 MASKED_COLUMNS = ("description", "chamberofcommerce", "city", "postcode", "dunsnumber", "website")
 MASK = "####"
 
+# Fixed value: the column of a CRM account that holds the account it refers to.
+CRM_ACCOUNT_COLUMN = "exact_id__c"
+
 # Request columns that hold identifiers.
 REQUEST_UPPER = (
     "id account contact syscreator sysmodifier approver type userid realizer environment document"

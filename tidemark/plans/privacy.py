@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.fixed_values import MASKED_COLUMNS
+from tidemark.fixed_values import CRM_ACCOUNT_COLUMN, MASKED_COLUMNS
 from tidemark.functions.columns import cast_columns
 from tidemark.operators.erasure import erase_history, listed_rows, mask_columns, stale_files
 from tidemark.sources.sinks import Watermarks, rewrite_partitions, write_partitions
@@ -63,7 +63,7 @@ def mask_divisions(raw: DataFrame, account_ids: DataFrame) -> DataFrame:
 def erase_crm_accounts(
     raw: DataFrame,
     account_ids: DataFrame,
-    id_column: str = "exact_id__c",
+    id_column: str = CRM_ACCOUNT_COLUMN,
     ties: Sequence[str] = (),
 ) -> DataFrame:
     """The same for the CRM accounts, found by the account id they refer to."""

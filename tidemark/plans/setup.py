@@ -14,13 +14,22 @@ from pyspark.sql import functions as F
 
 from tidemark.fixed_values import (
     ACCESS_ACTIVITY,
+    ACCOUNTANT_TEMPLATE,
     BLOCKED_FROM,
+    CONVERSION,
+    COPY,
+    DEMO,
+    EMPTY,
+    IMPORT,
     IMPORT_ACTIVITIES,
     IMPORT_SUCCESS_ACTIVITIES,
     REJECTED_REQUEST_STATUS,
     SAVE_ACTIVITY,
     SAVES_STARTED,
     SETUP_SINCE,
+    TEMPLATE,
+    TEMPORARY,
+    TRANSFER,
 )
 from tidemark.functions.columns import trim_text
 from tidemark.functions.expressions import not_among, ntz, number_before_colon
@@ -157,7 +166,7 @@ def temporary_divisions(
     blocked = latest.where(F.col("blocking") >= BLOCKED_FROM).select(*DIVISION, F.lit(True).alias("blocked"))
     joined = setup.join(blocked, DIVISION, "left")
     return assign(
-        joined, current_type().isNull() & F.col("blocked"), masterdatasetuptype=F.lit("TemporaryDivision")
+        joined, current_type().isNull() & F.col("blocked"), masterdatasetuptype=F.lit(TEMPORARY)
     ).drop("blocked")
 
 
@@ -188,7 +197,7 @@ def conversions(setup: DataFrame, conversion: DataFrame, divisions: DataFrame) -
     ).drop("sysmodified")
     joined = setup.join(newest, DIVISION, "left")
     guard = F.col("converted").isNotNull() & (
-        current_type().isNull() | ((current_type() == "Conversion") & not_among(current_status(), ["Success", "Failure"]))
+        current_type().isNull() | ((current_type() == CONVERSION) & not_among(current_status(), ["Success", "Failure"]))
     )
     status = (
         F.when(F.col("outcome") == "csHandedOver", "Success")
@@ -196,7 +205,7 @@ def conversions(setup: DataFrame, conversion: DataFrame, divisions: DataFrame) -
         .otherwise("InProgress")
     )
     changed = assign(
-        joined, guard, masterdatasetuptype=F.lit("Conversion"), masterdatasetupstatus=status
+        joined, guard, masterdatasetuptype=F.lit(CONVERSION), masterdatasetupstatus=status
     )
     holding = conversion.select(*DIVISION)
     return changed.drop("converted", "outcome").join(holding, DIVISION, "left_anti")
@@ -237,7 +246,7 @@ def transfers(setup: DataFrame, requests: DataFrame, executions: DataFrame) -> D
     joined = setup.join(earliest, DIVISION, "left")
     guard = F.col("requested").isNotNull() & (
         current_type().isNull()
-        | ((current_type() == "DivisionTransfer") & not_among(current_status(), ["Success", "Failure", "Rejected"]))
+        | ((current_type() == TRANSFER) & not_among(current_status(), ["Success", "Failure", "Rejected"]))
     )
     rejected = F.col("request_status") == REJECTED_REQUEST_STATUS
     status = (
@@ -250,7 +259,7 @@ def transfers(setup: DataFrame, requests: DataFrame, executions: DataFrame) -> D
     return assign(
         joined,
         guard,
-        masterdatasetuptype=F.lit("DivisionTransfer"),
+        masterdatasetuptype=F.lit(TRANSFER),
         masterdatasetupstatus=status,
         eventstarttime=F.col("transfer_start"),
         eventlatesttime=latest,
@@ -263,14 +272,14 @@ def imports(setup: DataFrame) -> DataFrame:
     An import may also replace a template or an empty start found earlier.
     """
     start, success = F.col("import_start"), F.col("import_success")
-    pending = (current_type() == "XML/CSV_Import") & ~current_status().eqNullSafe("Success")
+    pending = (current_type() == IMPORT) & ~current_status().eqNullSafe("Success")
     guard = (start.isNotNull() | success.isNotNull()) & (
-        current_type().isNull() | pending | current_type().isin("ExactTemplate", "Empty")
+        current_type().isNull() | pending | current_type().isin(TEMPLATE, EMPTY)
     )
     return assign(
         setup,
         guard,
-        masterdatasetuptype=F.lit("XML/CSV_Import"),
+        masterdatasetuptype=F.lit(IMPORT),
         masterdatasetupstatus=F.when(success.isNotNull(), "Success").otherwise("Started"),
         eventstarttime=start.cast("timestamp_ntz"),
         eventlatesttime=success.cast("timestamp_ntz"),
@@ -323,17 +332,17 @@ def _by_saves(many: str, some: str, none: str) -> Column:
 
 def template_divisions(setup: DataFrame) -> DataFrame:
     """Divisions started from the legislation template (after ``with_save_moments``)."""
-    pending = (current_type() == "XML/CSV_Import") & ~current_status().eqNullSafe("Success")
+    pending = (current_type() == IMPORT) & ~current_status().eqNullSafe("Success")
     guard = (current_type().isNull() | pending) & (F.col("divisionstartuptypecode") == "X")
     status = _by_saves("GLChangesMade", "GLChangesStarted", "StandardTemplate")
-    return assign(setup, guard, masterdatasetuptype=F.lit("ExactTemplate"), masterdatasetupstatus=status)
+    return assign(setup, guard, masterdatasetuptype=F.lit(TEMPLATE), masterdatasetupstatus=status)
 
 
 def empty_divisions(setup: DataFrame) -> DataFrame:
     """Divisions started without master data (after ``with_save_moments``)."""
     guard = current_type().isNull() & (F.col("divisionstartuptypecode") == "E")
     status = _by_saves("GLAccountsAdded", "GLAccountsStarted", "NoChanges")
-    return assign(setup, guard, masterdatasetuptype=F.lit("Empty"), masterdatasetupstatus=status)
+    return assign(setup, guard, masterdatasetuptype=F.lit(EMPTY), masterdatasetupstatus=status)
 
 
 @dataclass(frozen=True)
@@ -366,13 +375,13 @@ def master_data_setup(
     setup = with_activity_facts(setup, s.activity)
     setup = first_accessed(setup)
     setup = temporary_divisions(setup, s.raw_divisions, tie_breakers)
-    setup = by_startup_type(setup, "Y", "Demo")
+    setup = by_startup_type(setup, "Y", DEMO)
     setup = conversions(setup, s.conversion, s.divisions)
     setup = transfers(setup, s.transfer_requests, s.transfer_executions)
     setup = imports(setup)
     setup = with_save_moments(setup, save_moments(s.activity))
     setup = template_divisions(setup)
-    setup = by_startup_type(setup, "A", "AccountantTemplate")
-    setup = by_startup_type(setup, "D", "DivisionCopy")
+    setup = by_startup_type(setup, "A", ACCOUNTANT_TEMPLATE)
+    setup = by_startup_type(setup, "D", COPY)
     setup = empty_divisions(setup)
     return setup.select(*SETUP_COLUMNS)

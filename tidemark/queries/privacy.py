@@ -6,7 +6,7 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from tidemark.fixed_values import MASKED_COLUMNS
+from tidemark.fixed_values import CRM_ACCOUNT_COLUMN, MASKED_COLUMNS
 from tidemark.operators.erasure import erase_history, mask_columns
 from tidemark.plans.privacy import (
     deletion_log,
@@ -88,7 +88,7 @@ def erased_crm_users(spark, sf_dir):
 def erased_crm_accounts(spark, sf_dir):
     raw = table(spark, sf_dir, "orders").select(
         F.col("o_custkey").alias("id"),
-        (F.col("o_orderkey") % 70).alias("exact_id__c"),
+        (F.col("o_orderkey") % 70).alias(CRM_ACCOUNT_COLUMN),
         F.col("o_orderdate").cast("string").alias("etlinserttime"),
         F.col("o_orderdate").cast("string").alias("lastmodifieddate"),
         "o_orderkey",
@@ -157,11 +157,11 @@ ORACLES = {
             where c_custkey in {_TOXIC.format(n=200)})"""
     ),
     "erase_crm_accounts": f"""
-        select id, exact_id__c, d as etlinserttime, d as lastmodifieddate, o_orderkey from (
-            select o_custkey as id, o_orderkey % 70 as exact_id__c, o_orderdate as d, o_orderkey,
+        select id, {CRM_ACCOUNT_COLUMN}, d as etlinserttime, d as lastmodifieddate, o_orderkey from (
+            select o_custkey as id, o_orderkey % 70 as {CRM_ACCOUNT_COLUMN}, o_orderdate as d, o_orderkey,
                    row_number() over (partition by o_custkey order by o_orderdate desc, o_orderkey desc) as rn
             from orders) r
-        where rn = 1 or exact_id__c not in {_TOXIC.format(n=70)}""",
+        where rn = 1 or {CRM_ACCOUNT_COLUMN} not in {_TOXIC.format(n=70)}""",
     "redact": """
         select doc_id, case when t then '####' else text end as text, lang,
                case when t then '####' else source end as source, n_chars
