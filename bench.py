@@ -21,7 +21,7 @@ HEADLINE = (
     " load_accounts load_items load_divisions load_usagetransactions ingest_union typed_requests"
     " publish_log conversion_source active_modules daily_statistics zero_glitch_repair daily_changes"
     " summary_upsert lifecycle_pivot month_end_owner running_total neighbours first_event_counters"
-    " first_event_like key_events_all key_event_merge add_missing_keys first_accessed save_moments"
+    " first_event_bounded first_event_like key_events_all key_event_merge add_missing_keys first_accessed save_moments"
     " transfer_rule setup_cascade erase_history erase_crm_accounts redact mask_divisions stale_files"
     " salted_join"
 ).split()

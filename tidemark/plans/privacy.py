@@ -7,6 +7,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.fixed_values import CRM_ACCOUNT_COLUMN, MASKED_COLUMNS
 from tidemark.functions.columns import cast_columns
@@ -20,7 +21,10 @@ NEWEST_COPY = ("cigcopytime desc",)
 
 def deletion_log(raw: DataFrame, name: str, after: date | None, until: date) -> DataFrame:
     """Ids anonymised on each ingestion day after the watermark, in one scan."""
-    pending = days_between(raw, after, until).where(F.col("isanonymized").cast("string") == "1")
+    mark = F.col("isanonymized")
+    if not isinstance(raw.schema["isanonymized"].dataType, T.BooleanType):
+        mark = mark.cast("string") == "1"
+    pending = days_between(raw, after, until).where(mark)
     days = [F.col(part).try_cast("int").alias(to) for part, to in zip(INGESTION_DAY, LOG_DAY)]
     return pending.select(F.col("id").alias(name), *days)
 

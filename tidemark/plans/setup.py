@@ -180,7 +180,8 @@ def conversions(setup: DataFrame, conversion: DataFrame, divisions: DataFrame) -
     """Divisions that a conversion was made for; the holding divisions leave.
 
     The target of a conversion is the division its holding division links to.
-    Several conversions of one target count by the one changed last.
+    Several conversions of one target count by the one changed last; one without a
+    creation time counts for nothing.
     """
     links = divisions.select(*DIVISION, F.col("linkeddivision").try_cast("int").alias("target"))
     targets = conversion.join(links, DIVISION).select(
@@ -191,7 +192,7 @@ def conversions(setup: DataFrame, conversion: DataFrame, divisions: DataFrame) -
         F.col("conversionstatusdescription").alias("outcome"),
     )
     newest = latest_record(
-        targets.where(F.col("divisioncode").isNotNull()),
+        targets.where(F.col("divisioncode").isNotNull() & F.col("converted").isNotNull()),
         DIVISION,
         ["sysmodified desc", "converted desc", "outcome"],
     ).drop("sysmodified")

@@ -13,6 +13,8 @@ from tidemark.fixed_values import (
     LEGISLATION_TEMPLATE,
     SUMMED_EVENTS,
 )
+from tidemark.functions.expressions import ntz
+from tidemark.operators.erasure import listed_rows
 from tidemark.operators.skew import salted_join
 from tidemark.plans.key_events import (
     Bounds,
@@ -22,11 +24,13 @@ from tidemark.plans.key_events import (
     consult_request_events,
     contract_accounts,
     counter_events,
+    first_times,
     key_events,
     legislation_events,
     merge_events,
     mobile_use_events,
     sales_invoice_events,
+    within,
 )
 from tidemark.queries.views import oracle, table, view
 
@@ -128,6 +132,27 @@ def merged_keeping_first(spark, sf_dir):
     return merge_events(store, new, ["purchase", "signup"], keep="first")
 
 
+STATUS_FIRSTS = {"finished": "F", "open": "O", "planned": "P"}
+FIRSTS_BOUNDS = Bounds(datetime(1995, 6, 1), {"finished": date(1995, 2, 1), "open": date(1995, 3, 1)})
+
+
+def bounded_firsts(spark, sf_dir):
+    conditions = {name: F.col("o_orderstatus") == code for name, code in STATUS_FIRSTS.items()}
+    firsts = first_times(table(spark, sf_dir, "orders"), ["o_custkey"], "o_orderdate", conditions)
+    return within(firsts, FIRSTS_BOUNDS, list(conditions))
+
+
+def unbounded_firsts(spark, sf_dir):
+    conditions = {name: F.col("event_type") == name for name in ("purchase", "signup", "error")}
+    return first_times(table(spark, sf_dir, "events"), ["user_id"], "ts", conditions)
+
+
+def customers_without_recent_plan(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders")
+    recent = orders.where((F.col("o_orderstatus") == "P") & (F.col("o_orderdate") >= ntz("2000-01-01")))
+    return listed_rows(table(spark, sf_dir, "customer"), "c_custkey", recent.select("o_custkey"), "left_anti")
+
+
 def orders_with_customer(spark, sf_dir):
     orders, customer = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
     owners = customer.withColumnRenamed("c_custkey", "o_custkey")
@@ -139,6 +164,9 @@ def orders_with_customer(spark, sf_dir):
 
 
 QUERIES = {
+    "first_event_bounded": bounded_firsts,
+    "first_event_unbounded": unbounded_firsts,
+    "holding_removed": customers_without_recent_plan,
     "first_event_counters": counters,
     "first_event_sales_invoice": sales_invoices,
     "first_event_like": consults,
@@ -233,6 +261,20 @@ _MERGE_INPUT = """
 _STORE = "accountid, environment, divisioncode, userid, key_event, key_event_timestamp, inserteddatetime"
 
 ORACLES = {
+    "first_event_bounded": """
+        with f as (select o_custkey, min(o_orderdate) as first_time,
+                          case o_orderstatus when 'F' then 'finished' when 'O' then 'open' else 'planned' end as key_event
+                   from orders group by o_custkey, o_orderstatus)
+        select o_custkey, key_event, first_time from f
+        where first_time <= timestamp '1995-06-01'
+          and (key_event = 'planned' or (key_event = 'finished' and first_time > timestamp '1995-02-01')
+               or (key_event = 'open' and first_time > timestamp '1995-03-01'))""",
+    "first_event_unbounded": """
+        select user_id, event_type as key_event, min(ts) as first_time from events
+        where event_type in ('purchase', 'signup', 'error') group by user_id, event_type""",
+    "holding_removed": """
+        select * from customer where c_custkey not in (
+            select o_custkey from orders where o_orderstatus = 'P' and o_orderdate >= timestamp '2000-01-01')""",
     "first_event_counters": oracle(("d_daily", "d_divisions", *_A_VIEWS), f"{_CTE_A} {_COUNTERS}"),
     "first_event_sales_invoice": oracle(
         ("d_summary", "d_divisions", *_A_VIEWS), f"{_CTE_A} {_INVOICES}"
