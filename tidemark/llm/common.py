@@ -12,11 +12,13 @@ from tidemark.session import checkpoint_folder
 # Rows that Spark hands to a Python task at once. Texts are cut into slabs afterwards, so
 # this only bounds one transfer.
 ROWS_PER_BATCH = 1_000
+BYTES_PER_BATCH = 32 << 20
 
 
 def prepared(spark: SparkSession) -> None:
     """Session settings of the operators that hand texts to Python."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_PER_BATCH))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BYTES_PER_BATCH))
 
 
 def stored(df: DataFrame, *partitions: str) -> DataFrame:
