@@ -1,8 +1,8 @@
 """The operators of this package as queries on the test tables."""
 
-from tidemark.llm import language, language_model, licenses, near_duplicates, packing, personal, quality
+from tidemark.llm import language, language_model, licenses, near_duplicates, packing, personal, quality, repeated_spans
 
-_MODULES = (language, language_model, licenses, near_duplicates, packing, personal, quality)
+_MODULES = (language, language_model, licenses, near_duplicates, packing, personal, quality, repeated_spans)
 
 QUERIES = {name: run for module in _MODULES for name, run in module.QUERIES.items()}
 ORACLES = {name: sql for module in _MODULES for name, sql in module.ORACLES.items()}
