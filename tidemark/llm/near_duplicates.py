@@ -38,8 +38,8 @@ from tidemark.llm.graph import components
 WORDS = 5
 BATCH_BYTES = 12 << 20
 # Documents along a side of a tile of the product, and n-grams multiplied at once.
-TILE = 384
-SLICE = 8192
+TILE = 1024
+SLICE = 4096
 
 _SENT = "kind string, batch long, block int, first long, keys binary, counts binary, payload binary"
 _ARROW_SENT = pa.schema(
@@ -354,7 +354,9 @@ def near_duplicate_classes(
     # Columns whose documents are still in different components.
     placed = columns.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
     mixed = placed.groupBy("gram").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
-    columns_of = pivot.join(mixed, "gram").select("gram", F.col("b").alias("pivot"))
+    # Columns whose pivots are in one component form one matrix.
+    of_pivot = label.select(F.col("node").alias("b"), F.col("component").alias("pivot"))
+    columns_of = pivot.join(mixed, "gram").join(of_pivot, "b", "left").select("gram", F.coalesce("pivot", "b").alias("pivot"))
     placed = placed.join(columns_of, "gram").groupBy("pivot", "node").agg(
         F.first("n").alias("n"), F.first("component").alias("component"), F.collect_list("gram").alias("grams")
     ).join(nodes.select("node", F.size("kept").alias("kept")).groupBy("node").agg(F.max("kept").alias("kept")), "node")
