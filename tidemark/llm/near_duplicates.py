@@ -37,9 +37,10 @@ from tidemark.llm.graph import components
 
 WORDS = 5
 BATCH_BYTES = 12 << 20
-# Documents along a side of a tile of the product, and n-grams multiplied at once.
+# Documents along a side of a tile of the product, and columns and pairs looked at at once.
 TILE = 1024
 SLICE = 4096
+PAIRS = 4_000_000
 
 _SENT = "kind string, batch long, block int, first long, keys binary, counts binary, payload binary"
 _ARROW_SENT = pa.schema(
@@ -201,21 +202,53 @@ def _in_tiles(rows: DataFrame, partitions: int, work, schema: str) -> DataFrame:
 
 
 def _overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
-    """Sizes of the intersections of two lists of ascending sets."""
-    shared, counts = np.unique(np.concatenate([np.unique(np.concatenate(left)), np.unique(np.concatenate(right))]), return_counts=True)
-    shared = shared[counts > 1]
-    overlap = np.zeros((len(left), len(right)), dtype=np.float32)
-    for low in range(0, len(shared), SLICE):
-        part = shared[low : low + SLICE]
-        sides = []
-        for side in (left, right):
-            matrix = np.zeros((len(side), len(part)), dtype=np.float32)
-            for k, own in enumerate(side):
-                spot = np.minimum(np.searchsorted(part, own), len(part) - 1)
-                matrix[k, spot[part[spot] == own]] = 1
-            sides.append(matrix)
-        overlap += sides[0] @ sides[1].T
-    return overlap.astype(np.int64)
+    """Sizes of the intersections of two lists of sets.
+
+    The product of two sparse matrices: columns that many rows hold are multiplied as dense
+    ones, of the others the pairs of rows are counted.
+    """
+    cells = len(left) * len(right)
+    overlap = np.zeros(cells, dtype=np.int64)
+    shared = np.intersect1d(np.concatenate(left), np.concatenate(right))
+    if not len(shared):
+        return overlap.reshape(len(left), len(right))
+    sides = []
+    for side in (left, right):
+        grams = np.concatenate(side)
+        row = np.repeat(np.arange(len(side)), [len(x) for x in side])
+        spot = np.minimum(np.searchsorted(shared, grams), len(shared) - 1)
+        known = shared[spot] == grams
+        spot, row = spot[known], row[known]
+        order = np.argsort(spot, kind="stable")
+        sides.append((spot[order], row[order], np.bincount(spot, minlength=len(shared))))
+    (spot_a, row_a, count_a), (spot_b, row_b, count_b) = sides
+    thick = count_a * count_b > max(64, cells // 100)
+    first_b = np.cumsum(count_b) - count_b
+    thin = np.flatnonzero(~thick[spot_a])
+    ends = np.cumsum(count_b[spot_a[thin]])
+    low = 0
+    while low < len(thin):
+        high = max(low + 1, int(np.searchsorted(ends, (ends[low - 1] if low else 0) + PAIRS, side="right")))
+        part = thin[low:high]
+        times = count_b[spot_a[part]]
+        within = np.arange(int(times.sum())) - np.repeat(np.cumsum(times) - times, times)
+        other = row_b[np.repeat(first_b[spot_a[part]], times) + within]
+        overlap += np.bincount(np.repeat(row_a[part], times) * len(right) + other, minlength=cells)
+        low = high
+    overlap = overlap.reshape(len(left), len(right))
+    names = np.flatnonzero(thick)
+    for low in range(0, len(names), SLICE):
+        part = names[low : low + SLICE]
+        place = np.full(len(shared), -1)
+        place[part] = np.arange(len(part))
+        dense = []
+        for spot, row, size in ((spot_a, row_a, len(left)), (spot_b, row_b, len(right))):
+            matrix = np.zeros((size, len(part)), dtype=np.float32)
+            inside = place[spot] >= 0
+            matrix[row[inside], place[spot[inside]]] = 1
+            dense.append(matrix)
+        overlap += (dense[0] @ dense[1].T).astype(np.int64)
+    return overlap
 
 
 def _column(rows: list[dict], name: str) -> np.ndarray:
@@ -230,7 +263,7 @@ def _may_reach(rows: DataFrame, partitions: int, percent: int) -> DataFrame:
     """
 
     def work(left: list[dict], right: list[dict], same: bool) -> Iterator[pd.DataFrame]:
-        inside = _overlaps([np.sort(r["grams"]) for r in left], [np.sort(r["grams"]) for r in right])
+        inside = _overlaps([r["grams"] for r in left], [r["grams"] for r in right])
         n_a, n_b = _column(left, "n")[:, None], _column(right, "n")[None, :]
         outside = np.minimum(
             (_column(left, "kept") - [len(r["grams"]) for r in left])[:, None],
