@@ -21,7 +21,7 @@ from tidemark.llm.arrays import NOT_SPACE, combine, mix, pack, pack_sorted, slab
 from tidemark.llm.common import documents, id_fold, shuffle_partitions, stored
 from tidemark.llm.exchange import SUMMARY, answers, bundle, gathered, messages, unbundle, with_answers
 
-BATCH_BYTES = 12 << 20
+BATCH_BYTES = 8 << 20
 END = mix(np.array([1], dtype=np.uint64))[0]
 
 # Contexts seen 0, 1, 2-3, 4-7, ... times have mixture weights of their own.
@@ -29,6 +29,8 @@ BUCKETS = 24
 # Probabilities enter the expectation-maximisation by half powers of two.
 LEVELS = 96
 ITERATIONS = 60
+# Pairs are told apart by 56 bits.
+PAIR_BITS = np.uint64(0xFFFFFFFFFFFFFF00)
 
 _SENT = "kind string, batch long, block int, first long, keys binary, counts binary, payload binary"
 _SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
@@ -49,13 +51,19 @@ def _of_level(level: np.ndarray) -> np.ndarray:
     return np.where(level > 0, 2.0 ** (-(level - 1) / 2), 0.0)
 
 
+def _by_frequency(counts: np.ndarray) -> np.ndarray:
+    """Keys from the most frequent one: tokens numbered in this order compress well."""
+    return np.argsort(-counts.astype(np.int64), kind="stable").astype(np.uint32)
+
+
 class _Batch:
     """A batch's documents with the corpus counts of all their tokens."""
 
     def __init__(self, payload: bytes):
-        ids, valid, train, sizes, keys, tokens = unbundle(payload)
+        ids, valid, train, sizes, keys, counts, tokens = unbundle(payload)
         self.ids, self.valid, self.train = unpack(ids, np.int64), unpack(valid, np.uint8), unpack(train, np.uint8)
-        self.sizes, self.keys, self.tokens = unpack(sizes, np.int64), unpack_sorted(keys), unpack(tokens, np.uint32)
+        self.sizes, self.keys = unpack(sizes, np.int64), unpack_sorted(keys)
+        self.tokens = _by_frequency(unpack(counts, np.uint32))[unpack(tokens, np.uint32)]
         self.first = np.cumsum(self.sizes) - self.sizes
         # The context of a document's first token is an end.
         self.context = np.empty_like(self.tokens)
@@ -65,7 +73,8 @@ class _Batch:
 
     def pairs(self) -> tuple[np.ndarray, np.ndarray]:
         """Ascending distinct pairs and the pair of each token."""
-        return np.unique(combine(self.keys[self.context], self.keys[self.tokens]), return_inverse=True)
+        codes = combine(self.keys[self.context], self.keys[self.tokens])
+        return np.unique(codes & PAIR_BITS, return_inverse=True)
 
     def single_counts(self) -> np.ndarray:
         return np.bincount(self.tokens[self.trained], minlength=len(self.keys)).astype(np.uint64)
@@ -85,14 +94,19 @@ def _count_pass(docs: DataFrame, blocks: int, batch_bytes: int) -> DataFrame:
                     count = np.diff(first)
                     sizes.append(count + 1)
                     codes.append(np.insert(slab.span_hashes(start, end, fold=True), first[1:], END))
-            keys, tokens = np.unique(np.concatenate(codes), return_inverse=True)
+            keys, tokens, counts = np.unique(np.concatenate(codes), return_inverse=True, return_counts=True)
+            counts = counts.astype(np.uint32)
+            order = _by_frequency(counts)
+            rank = np.empty(len(order), dtype=np.uint32)
+            rank[order] = np.arange(len(order))
             payload = bundle(
                 pack(np.array([i or 0 for i in ids], dtype=np.int64)),
                 pack(np.array([i is not None for i in ids], dtype=np.uint8)),
                 pack(np.array(train, dtype=np.uint8)),
                 pack(np.concatenate(sizes)),
                 pack_sorted(keys),
-                pack(tokens.astype(np.uint32)),
+                pack(counts),
+                pack(rank[tokens]),
             )
             batch = _Batch(payload)
             pairs, which = batch.pairs()
