@@ -13,7 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
 
-SLAB_BYTES = 4 << 20
+SLAB_BYTES = 1 << 20
 
 # Multipliers of the 64-bit hashes; any odd numbers with well mixed bits do.
 _BASE = 0x9E3779B97F4A7C15

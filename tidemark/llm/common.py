@@ -16,9 +16,11 @@ BYTES_PER_BATCH = 32 << 20
 
 
 def prepared(spark: SparkSession) -> None:
-    """Session settings of the operators that hand texts to Python."""
+    """Session settings of the operators: bounded transfers, and shuffle files that go when a
+    query ends (what is needed again is written to the shared folder)."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_PER_BATCH))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BYTES_PER_BATCH))
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
 
 
 def stored(df: DataFrame, *partitions: str) -> DataFrame:

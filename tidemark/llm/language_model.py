@@ -89,7 +89,7 @@ def _count_pass(docs: DataFrame, blocks: int, batch_bytes: int) -> DataFrame:
             for part in parts:
                 ids += part.column(0).to_pylist()
                 train += part.column(1).to_pylist()
-                for _, _, slab in slabs(part.column(2), batch_bytes):
+                for _, _, slab in slabs(part.column(2)):
                     start, end, first = slab.words(NOT_SPACE)
                     count = np.diff(first)
                     sizes.append(count + 1)

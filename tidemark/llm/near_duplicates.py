@@ -99,7 +99,7 @@ def _prefix_pass(docs: DataFrame, blocks: int, batch_bytes: int) -> DataFrame:
             ids, sizes, signs, prefixes = [], [], [], [np.zeros(0, np.uint64)]
             for part in parts:
                 ids += part.column(0).to_pylist()
-                for _, _, slab in slabs(part.column(1), batch_bytes):
+                for _, _, slab in slabs(part.column(1)):
                     for grams in shingle_sets(slab):
                         sizes.append(len(grams))
                         signs.append(_signs(grams))
