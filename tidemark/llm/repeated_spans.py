@@ -318,7 +318,7 @@ def _counted_windows(suffixes: DataFrame, length: int) -> DataFrame:
 def repeated_spans(keyed: DataFrame, length: int = LENGTH, most_in_group: int = MOST_IN_GROUP) -> DataFrame:
     """Spans that are covered by strings of ``length`` bytes that start elsewhere as well.
 
-    ``keyed``: doc_id, text_hash, text and ``copies``, one row per different (id, text).
+    ``keyed``: doc_id and text (not null) and text_hash.
     """
     partitions = shuffle_partitions(keyed.sparkSession)
     places = stored(_places(keyed, length))
@@ -364,10 +364,13 @@ def remove_repeats(
     base = docs.select(
         F.col(id_column).cast("long").alias("doc_id"), F.coalesce(F.col(text_column), F.lit("")).alias("text")
     ).withColumn("text_hash", F.xxhash64("text", F.length("text")))
-    spans = repeated_spans(base.where(F.octet_length("text") >= length), length, most_in_group)
-    spans = spans.withColumn("doc_key", F.coalesce("doc_id", F.lit(0)))
+    # Places are known by id and text; a null id counts as 0 among them, which is no matter, since
+    # equal texts have equal spans.
+    base = base.withColumn("doc_key", F.coalesce("doc_id", F.lit(0)))
+    keyed = base.where(F.octet_length("text") >= length).select(F.col("doc_key").alias("doc_id"), "text_hash", "text")
+    spans = repeated_spans(keyed, length, most_in_group).withColumnRenamed("doc_id", "doc_key")
     lists = spans.groupBy("doc_key", "text_hash").agg(F.collect_set(F.struct("start", "stop")).alias("found"))
-    joined = base.withColumn("doc_key", F.coalesce("doc_id", F.lit(0))).join(lists, ["doc_key", "text_hash"], "left")
+    joined = base.join(lists, ["doc_key", "text_hash"], "left")
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
