@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.frames import frame, rows
-from tidemark.plans.privacy import erase_accounts, mask_divisions, rewrite_history, run_erasure, update_deletion_log
+from tidemark.plans.privacy import erase_accounts, erase_persons, mask_divisions, rewrite_history, run_erasure, update_deletion_log
 from tidemark.sources.ingest import (
     SourceTable,
     day_folders,
@@ -19,11 +19,11 @@ from tidemark.sources.sinks import (
     Watermarks,
     in_partitions,
     replace_partition,
-    rewrite_partitions,
+    rewrite_folders,
     write_if_any,
     write_partitions,
 )
-from tidemark.sources.tables import days_between, on_day, read_table, union_by_name
+from tidemark.sources.tables import days_between, on_day, read_table, union_by_name, with_folder
 
 COPIED = datetime(2024, 2, 3, 6, 0)
 
@@ -157,10 +157,10 @@ def test_deletion_log_catches_up_and_moves_the_watermark(spark, tmp_path):
 def test_rewrite_partitions_of_the_table_that_is_read(spark, tmp_path):
     path, staging = str(tmp_path / "t"), str(tmp_path / "staging")
     write_partitions(frame(spark, "v int, d int", (1, 1), (2, 2), (3, 2), (3, 3)), path, ["d"])
-    df = spark.read.parquet(path)
+    df = with_folder(spark.read.parquet(path))
     untouched = (tmp_path / "t" / "d=1").stat().st_mtime_ns
-    touched = df.where("v = 3").select("d")
-    rewrite_partitions(spark, path, df.where("v <> 3"), touched, ["d"], staging)
+    rewrite_folders(spark, df.where("v <> 3"), df.where("v = 3"), ["d"], staging)
+    assert not (tmp_path / "staging").exists()
     assert rows(spark.read.parquet(path), "v", "d") == [(1, 1), (2, 2)]
     assert (tmp_path / "t" / "d=1").stat().st_mtime_ns == untouched
     assert not (tmp_path / "t" / "d=3").exists()
@@ -211,6 +211,29 @@ def test_erasure_of_a_stored_table(spark, tmp_path):
     assert not (tmp_path / "s2").exists()
 
 
+@pytest.mark.parametrize("change", [erase_accounts, erase_persons])
+def test_erasure_keeps_folders_types_and_other_rows(spark, tmp_path, change):
+    path, marks = tmp_path / "raw", Watermarks(spark, str(tmp_path / "marks"))
+    days = {
+        "IngestionYear=2024/IngestionMonth=01/IngestionDay=01": [("a", "2024-01-01"), ("b", "no time")],
+        "IngestionYear=2024/IngestionMonth=01/IngestionDay=02": [("a", "2024-01-02"), ("b", "2024-01-02")],
+        "IngestionYear=2024/IngestionMonth=01/IngestionDay=__HIVE_DEFAULT_PARTITION__": [("a", "2023-12-31"), ("c", None)],
+        "IngestionYear=2024/IngestionMonth=01/IngestionDay=03": [("b", "2024-01-03")],
+    }
+    for folder, data in days.items():
+        frame(spark, "id string, cigcopytime string", *data).coalesce(1).write.parquet(str(path / folder))
+    before = (path / "IngestionYear=2024/IngestionMonth=01/IngestionDay=03").stat().st_mtime_ns
+    log = frame(spark, "accountid string, year int, month int, day int", ("a", 2024, 2, 1))
+    run_erasure(spark, str(path), log, "id", change, marks, "erase", date(2024, 2, 10), str(tmp_path / "s"))
+    left = rows(spark.read.parquet(str(path)), "id", "cigcopytime")
+    assert left == rows(
+        frame(spark, "id string, cigcopytime string", ("a", "2024-01-02"), ("b", "no time"), ("b", "2024-01-02"), ("b", "2024-01-03"), ("c", None)),
+        "id", "cigcopytime",
+    )
+    assert (path / "IngestionYear=2024/IngestionMonth=01/IngestionDay=03").stat().st_mtime_ns == before
+    assert not (tmp_path / "s").exists() and sorted(p.name for p in path.iterdir()) == ["IngestionYear=2024"]
+
+
 def test_masking_of_a_stored_table(spark, tmp_path):
     path = str(tmp_path / "raw")
     ingested(spark, path)

@@ -90,6 +90,9 @@ def salted_join(
     ``sizes`` if given: a stored table with the same hot keys is cheaper to count
     than a derived left side.
     """
+    if how not in ("inner", "left", "left_semi", "left_anti"):
+        # Right rows are repeated per salt, so unmatched ones would surface more than once.
+        raise ValueError(f"a salted join can't be {how}")
     hot = hot_keys(left if sizes is None else sizes, keys, task_rows)
     if not hot:
         return left.join(right, list(keys), how)

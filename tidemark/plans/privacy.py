@@ -12,8 +12,8 @@ from pyspark.sql import types as T
 from tidemark.fixed_values import CRM_ACCOUNT_COLUMN, MASKED_COLUMNS
 from tidemark.functions.columns import cast_columns
 from tidemark.operators.erasure import erase_history, listed_rows, mask_columns, stale_files
-from tidemark.sources.sinks import Watermarks, rewrite_partitions, write_partitions
-from tidemark.sources.tables import INGESTION_DAY, days_between, with_file_path
+from tidemark.sources.sinks import Watermarks, rewrite_folders, write_partitions
+from tidemark.sources.tables import FOLDER, INGESTION_DAY, days_between, partition_columns, with_file_path, with_folder
 
 LOG_DAY = ("year", "month", "day")
 NEWEST_COPY = ("cigcopytime desc",)
@@ -48,15 +48,19 @@ def user_ids(person_ids: DataFrame, users: DataFrame) -> DataFrame:
     return listed_rows(users.select("personid", "userid"), "personid", person_ids).select("userid").distinct()
 
 
-def _erase(raw: DataFrame, ids: DataFrame, id_column: str, ties: Sequence[str]) -> DataFrame:
-    typed = cast_columns(raw, {"timestamp": ["cigcopytime"]})
-    return erase_history(typed, "id", ids, [*NEWEST_COPY, *ties], id_column)
+def _erase(
+    raw: DataFrame, ids: DataFrame, id_column: str, ties: Sequence[str], times: Sequence[str] = ("cigcopytime",)
+) -> DataFrame:
+    """Erase by the newest of some times; stored columns keep their types and values."""
+    derived = {f"_order_{name}": F.col(name) for name in times}
+    marked = cast_columns(raw.withColumns(derived), {"timestamp": list(derived)})
+    order = [*(f"{name} desc" for name in derived), *ties]
+    return erase_history(marked, "id", ids, order, id_column).select(*raw.columns)
 
 
 def erase_accounts(raw: DataFrame, account_ids: DataFrame, ties: Sequence[str] = ()) -> DataFrame:
     """Account history without all but the latest record of erased accounts."""
-    erased = _erase(raw, account_ids, "id", ties)
-    return erased.withColumn("cigcopytime", F.col("cigcopytime").cast("string"))
+    return _erase(raw, account_ids, "id", ties)
 
 
 def mask_divisions(raw: DataFrame, account_ids: DataFrame) -> DataFrame:
@@ -71,9 +75,7 @@ def erase_crm_accounts(
     ties: Sequence[str] = (),
 ) -> DataFrame:
     """The same for the CRM accounts, found by the account id they refer to."""
-    typed = cast_columns(raw, {"timestamp": ["etlinserttime", "lastmodifieddate"]})
-    order = ["etlinserttime desc", "lastmodifieddate desc", *ties]
-    return erase_history(typed, "id", account_ids, order, id_column)
+    return _erase(raw, account_ids, id_column, ties, ("etlinserttime", "lastmodifieddate"))
 
 
 def erase_persons(raw: DataFrame, person_ids: DataFrame, ties: Sequence[str] = ()) -> DataFrame:
@@ -110,17 +112,17 @@ def rewrite_history(
     id_column: str,
     change: Callable[[DataFrame, DataFrame], DataFrame],
     staging: str,
-    parts: Sequence[str] = INGESTION_DAY,
 ) -> None:
-    """Apply an erasure or masking to a stored table, in the days that hold listed ids.
+    """Apply an erasure or masking to a stored table, in the folders that hold listed ids.
 
     ``change`` is one of the functions above, such as ``erase_accounts``. The latest
     record is chosen from the whole history of the listed ids; of all other rows
-    only the touched days are read and written.
+    only the touched folders are read and written, under the names they have.
     """
-    raw = spark.read.parquet(path)
-    touched = listed_rows(raw, id_column, ids).select(*parts).distinct()
-    rewrite_partitions(spark, path, change(raw, ids), touched, parts, staging)
+    raw = with_folder(spark.read.parquet(path))
+    parts = partition_columns(spark, path)
+    touched = listed_rows(raw, id_column, ids).select(FOLDER, *parts)
+    rewrite_folders(spark, change(raw, ids), touched, parts, staging)
 
 
 def run_erasure(

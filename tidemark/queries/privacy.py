@@ -137,7 +137,7 @@ _HISTORY = """(select user_id as id, event_id % 40 as person, 'U' || (event_id %
 _TOXIC = "(select doc_id % {n} from labels where toxic = 1)"
 
 
-def _erased(listed: str, copytime: str = "cigcopytime") -> str:
+def _erased(listed: str, copytime: str = "cast(cigcopytime as varchar)") -> str:
     return f"""select id, person, userid__c, {copytime} as cigcopytime, event_id, value from {_HISTORY}
         where rn = 1 or not ({listed})"""
 
@@ -149,7 +149,7 @@ ORACLES = {
         select event_id, ts, user_id, event_type, value, props from (
             select *, row_number() over (partition by user_id order by ts desc, event_id desc) as rn from events) r
         where rn = 1 or user_id not in {_TOXIC.format(n=150)}""",
-    "erase_accounts": _erased(f"id in {_TOXIC.format(n=150)}", "cast(cigcopytime as varchar)"),
+    "erase_accounts": _erased(f"id in {_TOXIC.format(n=150)}"),
     "erase_persons": _erased(f"id in {_TOXIC.format(n=150)}"),
     "erase_users": _erased(f"person in {_TOXIC.format(n=40)}"),
     "erase_crm_users": _erased(
@@ -157,7 +157,7 @@ ORACLES = {
             where c_custkey in {_TOXIC.format(n=200)})"""
     ),
     "erase_crm_accounts": f"""
-        select id, {CRM_ACCOUNT_COLUMN}, d as etlinserttime, d as lastmodifieddate, o_orderkey from (
+        select id, {CRM_ACCOUNT_COLUMN}, cast(d as varchar) as etlinserttime, cast(d as varchar) as lastmodifieddate, o_orderkey from (
             select o_custkey as id, o_orderkey % 70 as {CRM_ACCOUNT_COLUMN}, o_orderdate as d, o_orderkey,
                    row_number() over (partition by o_custkey order by o_orderdate desc, o_orderkey desc) as rn
             from orders) r

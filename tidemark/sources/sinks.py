@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.sources.files import child_names, path_exists, remove_folder, touch
+from tidemark.sources.tables import FOLDER
 
 
 def write_table(df: DataFrame, path: str, files: int | None = None) -> None:
@@ -40,44 +41,46 @@ def write_if_any(df: DataFrame, path: str, files: int | None = None) -> bool:
 
 def in_partitions(parts: Sequence[str], values: Sequence[Sequence]) -> Column:
     """Rows of the listed partitions; prunes folders wherever Spark can push it down."""
-    key = F.concat_ws("/", *[F.col(part).cast("string") for part in parts])
+    key = F.concat_ws("/", *[F.coalesce(F.col(part).cast("string"), F.lit("None")) for part in parts])
     return key.isin(["/".join(str(v) for v in row) for row in values])
 
 
-def rewrite_partitions(
-    spark: SparkSession,
-    path: str,
-    result: DataFrame,
-    touched: DataFrame,
-    parts: Sequence[str],
-    staging: str,
+def rewrite_folders(
+    spark: SparkSession, result: DataFrame, touched: DataFrame, parts: Sequence[str], staging: str
 ) -> None:
-    """Replace the touched partitions of a table by rows that were computed from it.
+    """Replace the touched folders of a table by rows that were computed from it.
 
-    The rows are staged in a new folder first, because the table is read while they
-    are computed. ``touched`` lists the partitions, a row each, of which there is one
-    per stored folder; those without any row left are removed.
+    ``result`` and ``touched`` name folders by their stored path in the column ``FOLDER``, so
+    the spelling of partition names and values, padded or null, plays no role. The rows are
+    staged first, because the table is read while they are computed; the staged copy is removed
+    at the end, and one that an earlier run left is overwritten. Folders without a row go.
     """
-    listed = [tuple(row) for row in touched.select(*parts).distinct().collect()]
-    if not listed:
+    found = touched.select(FOLDER, *parts).distinct().collect()
+    folders = sorted({row[0] for row in found})
+    if not folders:
         return
-    changed = result.where(in_partitions(parts, listed))
-    changed.write.mode("errorifexists").partitionBy(*parts).parquet(staging)
-    staged = spark.read.schema(result.schema).parquet(staging)
-    left = {tuple(row) for row in staged.select(*parts).distinct().collect()}
-    write_partitions(staged, path, parts)
-    for values in set(listed) - left:
-        folder = "/".join(f"{part}={value}" for part, value in zip(parts, values))
-        remove_folder(spark, f"{path.rstrip('/')}/{folder}")
+    if parts:
+        result = result.where(in_partitions(parts, sorted({tuple(map(str, row[1:])) for row in found})))
+    listed = spark.createDataFrame([(f, k) for k, f in enumerate(folders)], f"{FOLDER} string, _number int")
+    changed = result.join(listed, FOLDER).drop(FOLDER, *parts)
+    changed.write.mode("overwrite").partitionBy("_number").parquet(staging)
+    left = set(child_names(spark, staging))
+    for number, folder in enumerate(folders):
+        if f"_number={number}" in left:
+            write_table(spark.read.parquet(f"{staging}/_number={number}"), folder)
+        else:
+            remove_folder(spark, folder)
+    remove_folder(spark, staging)
 
 
 def replace_partition(
     spark: SparkSession, path: str, rows: DataFrame, values: Mapping[str, object], staging: str
 ) -> None:
     """Replace one partition by rows computed from the table, even by none."""
-    rows.drop(*values).write.mode("errorifexists").parquet(staging)
+    rows.drop(*values).write.mode("overwrite").parquet(staging)
     folder = "/".join([path.rstrip("/"), *(f"{name}={value}" for name, value in values.items())])
     write_table(spark.read.parquet(staging), folder)
+    remove_folder(spark, staging)
 
 
 class VersionedTable:
@@ -112,16 +115,19 @@ class VersionedTable:
             raise FileNotFoundError(f"no published version under {self.root}")
         return self.spark.read.parquet(f"{self.root}/{published[-1]}")
 
-    def publish(self, df: DataFrame, files: int | None = None, keep: int = 2) -> str:
-        """Write and expose a new version, then remove all but the newest ``keep``."""
+    def publish(self, df: DataFrame, files: int | None = None) -> str:
+        """Write and expose a new version; older ones stay for their readers."""
         numbers = [int(name.split("=")[1]) for name in self._versions()]
         name = f"version={max(numbers, default=0) + 1:012d}"
         sized = df if files is None else df.repartition(files)
         sized.write.mode("errorifexists").parquet(f"{self.root}/{name}")
         touch(self.spark, f"{self.root}/{name}/{self.MARKER}")
+        return name
+
+    def vacuum(self, keep: int = 2) -> None:
+        """Remove all but the newest versions, once nobody reads them any more."""
         for old in self._published()[:-keep]:
             remove_folder(self.spark, f"{self.root}/{old}")
-        return name
 
 
 class Watermarks:

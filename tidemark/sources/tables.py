@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 INGESTION_DAY = ("ingestionyear", "ingestionmonth", "ingestionday")
+FOLDER = "_folder"
 
 
 def read_table(
@@ -75,3 +76,19 @@ def union_by_name(frames: Sequence[DataFrame]) -> DataFrame:
     for frame in frames[1:]:
         result = result.unionByName(frame, allowMissingColumns=True)
     return result
+
+
+def with_folder(df: DataFrame) -> DataFrame:
+    """Append the folder of each row's file, as it is stored."""
+    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    return df.withColumn(FOLDER, F.regexp_replace(path, "/[^/]*$", ""))
+
+
+def partition_columns(spark: SparkSession, path: str) -> list[str]:
+    """Names of the columns that are stored as folders, spelled as stored."""
+    row = with_folder(spark.read.parquet(path)).select(FOLDER).first()
+    if row is None:
+        return []
+    root = path.rstrip("/").rsplit("/", 1)[-1]
+    below = row[0].rsplit(f"/{root}", 1)[-1]
+    return [part.split("=", 1)[0] for part in below.split("/") if "=" in part]
