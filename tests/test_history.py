@@ -50,6 +50,7 @@ def test_statistics_types_by_name():
         "salesinvoicefirstdate",
     ]
     assert types["long"] == ["divisioncode", "inconsistentbalancedate"]
+    assert not any(statistics_types(["companydescription", "vatnumber", "customer"]).values())
 
 
 def test_daily_statistics(spark):
@@ -175,6 +176,7 @@ def test_summary_upsert_takes_the_newest_of_all_pending_days(spark):
         ("NL", 2, 2, "old"),
         ("NL", 3, 3, "old"),
     )
+    raw = raw.withColumn("vatnumber", F.lit("B01"))
     found = summary_upsert(raw, summary, date(2024, 1, 1), date(2024, 1, 3))
     assert rows(found, "divisioncode", "gltransactionscount", "automaticbanklink", "kept") == [
         (1, 6, 1, None),
@@ -183,6 +185,7 @@ def test_summary_upsert_takes_the_newest_of_all_pending_days(spark):
         (4, 8, 0, None),
     ]
     assert "freeintfield_01" not in found.columns
+    assert rows(found, "divisioncode", "vatnumber") == [(1, "B01"), (2, None), (3, None), (4, "B01")]
     assert "knabbanklinksbgwsftp" in found.columns
 
 

@@ -21,10 +21,10 @@ def test_latest_record(spark):
 def test_latest_record_reduces_before_the_shuffle(spark):
     df = spark.range(100).withColumn("k", F.col("id") % 3)
 
-    def plan(order):
-        return latest_record(df, ["k"], order)._jdf.queryExecution().executedPlan().toString()
+    def plan(order, aggregate=False):
+        return latest_record(df, ["k"], order, aggregate=aggregate)._jdf.queryExecution().executedPlan().toString()
 
-    assert "partial_max_by" in plan(["id desc"]) and "partial_min_by" in plan(["id"])
+    assert "partial_max_by" in plan(["id desc"], True) and "partial_min_by" in plan(["id"], True)
     mixed = plan(["id desc", "k"])
     assert "WindowGroupLimit" in mixed and "Partial" in mixed
 
@@ -39,8 +39,11 @@ def test_latest_record_in_all_directions(spark):
     assert first("a", "b") == [(None, 4)]
     assert first("a desc", "b") == [(2, 2)]
     assert first(F.col("a").asc_nulls_last(), "b desc") == [(1, 2)]
-    assert latest_record(df, ["k"], ["a desc", "b desc"]).columns == ["k", "a", "b"]
-    assert latest_record(df.select("k"), ["k"], ["k desc"]).count() == 1
+    aggregated = latest_record(df, ["k"], ["a desc", "b desc"], aggregate=True)
+    assert aggregated.columns == ["k", "a", "b"] and rows(aggregated, "a", "b") == [(2, 3)]
+    assert latest_record(df.select("k"), ["k"], ["k desc"], aggregate=True).count() == 1
+    with pytest.raises(ValueError):
+        latest_record(df, ["k"], ["a desc", "b"], aggregate=True)
 
 
 @pytest.fixture(scope="module")
@@ -72,11 +75,18 @@ def neighbours(df, task_rows):
 
 def test_hot_keys_are_found(spark, skewed):
     hot = hot_keys(skewed, ["k"], 500)
-    assert hot.rows == [skewed.where("k = 0").count()]
+    assert hot.rows == hot.largest == skewed.where("k = 0").count()
     assert hot.only(skewed).count() + hot.without(skewed).count() == skewed.count()
     assert not hot_keys(skewed, ["k"], 10_000)
 
 
+def test_all_hot_keys_are_split(spark):
+    df = spark.range(8000).select((F.col("id") % 2000).alias("k"), F.col("id").alias("t"), "id", F.col("id").alias("v"))
+    hot = hot_keys(df, ["k"], 3)
+    assert (hot.rows, hot.largest, hot.frame.count()) == (8000, 4, 2000)
+    assert hot.without(df).isEmpty()
+
+
 @pytest.mark.parametrize("task_rows", [20, 50, 500])
 def test_neighbours_of_hot_keys_match_the_plain_window(skewed, task_rows):
     plain, split = neighbours(skewed, 10_000), neighbours(skewed, task_rows)

@@ -9,10 +9,6 @@ from pyspark.sql import functions as F
 
 RANK = "_rank"
 PICKED = "_picked"
-# Up to this many columns besides the keys an aggregation was 1.2 to 2.6 times as
-# fast as the ranking; with 60 columns, which it copies for every row, six times
-# as slow.
-NARROW = 8
 
 
 def sort_column(term: str) -> Column:
@@ -21,20 +17,25 @@ def sort_column(term: str) -> Column:
     return F.col(name).desc() if direction == "desc" else F.col(name).asc()
 
 
-def latest_record(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
+def latest_record(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], *, aggregate: bool = False
+) -> DataFrame:
     """Keep the first row of each key in the given order.
 
     The order holds names, ``"name desc"`` or sort columns, NULLs being the
     smallest values, and should end in a tie-breaker. Either way each map task
     sends at most one row per key through the shuffle, however many copies a key
-    has: few columns in an order of one direction are aggregated, which needs no
-    sort by the order; otherwise the rows are ranked, which Spark limits before the
-    shuffle as well (WindowGroupLimit).
+    has. Rows are ranked, which Spark limits before the shuffle (WindowGroupLimit).
+    With ``aggregate`` they are aggregated, which needs no sort by the order and takes
+    names in one direction only: with up to about eight columns besides the keys this
+    was 1.2 to 2.6 times as fast, with 60, which it copies for every row, six times as
+    slow. The two may pick different rows where the order leaves ties.
     """
-    terms = [term.partition(" ") for term in order if isinstance(term, str)]
-    directions = {direction or "asc" for _, _, direction in terms}
-    narrow = len(df.columns) - len(keys) <= NARROW
-    if narrow and len(terms) == len(order) and len(directions) == 1:
+    if aggregate:
+        terms = [term.partition(" ") for term in order if isinstance(term, str)]
+        directions = {direction or "asc" for _, _, direction in terms}
+        if len(terms) != len(order) or len(directions) != 1:
+            raise ValueError("only names in one direction can be aggregated")
         return _picked(df, keys, [name for name, _, _ in terms], directions == {"desc"})
     columns = [sort_column(term) if isinstance(term, str) else term for term in order]
     window = Window.partitionBy(*keys).orderBy(*columns)

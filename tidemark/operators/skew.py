@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from math import ceil
 
@@ -9,12 +10,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.expressions import same_keys
+from tidemark.session import checkpoint_folder
 
-# The hot keys are the largest ones that hold more rows than one task should
-# handle. There are at most this many, so lists of them are small enough for the
-# driver and for a broadcast; any other key holds less than one row in a thousand.
+# Rows that one task should handle; a key with more is hot.
 TASK_ROWS = 5_000_000
-MOST_HOT_KEYS = 1_000
 
 ROWS = "_rows"
 HOT = "_hot_"
@@ -22,55 +21,55 @@ SALT = "_salt"
 
 
 class HotKeys:
-    """The hot keys of a table, at most ``MOST_HOT_KEYS``, with their row counts."""
+    """The hot keys of a table: all keys with more rows than a task should handle.
 
-    def __init__(self, frame: DataFrame, keys: Sequence[str], rows: list[int], task_rows: int):
+    They are a small stored table, so Spark knows its size and broadcasts it or not.
+    """
+
+    def __init__(self, frame: DataFrame, keys: Sequence[str], rows: int, largest: int, task_rows: int):
         self.frame = frame
         self.keys = list(keys)
         self.rows = rows
+        self.largest = largest
         self.task_rows = task_rows
 
     def __bool__(self) -> bool:
-        return bool(self.rows)
+        return self.rows > 0
 
     @property
     def pieces(self) -> int:
         """Tasks needed for all hot rows."""
-        return max(2, ceil(sum(self.rows) / self.task_rows))
+        return max(2, ceil(self.rows / self.task_rows))
 
     @property
     def pieces_per_key(self) -> int:
         """Tasks needed for the largest key."""
-        return max(2, ceil(max(self.rows) / self.task_rows))
+        return max(2, ceil(self.largest / self.task_rows))
 
     def only(self, df: DataFrame) -> DataFrame:
         """Rows of the hot keys."""
-        return df.join(F.broadcast(self.frame), same_keys(df, self.frame, self.keys, HOT), "left_semi")
+        return df.join(self.frame, same_keys(df, self.frame, self.keys, HOT), "left_semi")
 
     def without(self, df: DataFrame) -> DataFrame:
         """Rows of all other keys."""
-        return df.join(F.broadcast(self.frame), same_keys(df, self.frame, self.keys, HOT), "left_anti")
+        return df.join(self.frame, same_keys(df, self.frame, self.keys, HOT), "left_anti")
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], task_rows: int = TASK_ROWS) -> HotKeys:
-    """Count the rows per key and return the hot ones.
+    """Count the rows per key and store the hot ones in the shared folder.
 
-    Reads the key columns only and counts inside the map tasks first. Keys that
-    are not returned are handled the plain way, so nothing is left out.
+    Reads the key columns only and counts inside the map tasks first. However many
+    keys are hot, only their total and their largest count reach the driver. Keys that
+    are not hot are handled the plain way, so nothing is left out.
     """
-    narrow = df.select(*keys)
-    found = (
-        narrow.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias(ROWS))
-        .where(F.col(ROWS) > task_rows)
-        .orderBy(F.col(ROWS).desc())
-        .limit(MOST_HOT_KEYS)
-        .collect()
-    )
-    values = [tuple(row[k] for k in keys) for row in found]
-    frame = df.sparkSession.createDataFrame(values, narrow.schema)
-    frame = frame.select([F.col(k).alias(HOT + k) for k in keys])
-    return HotKeys(frame, keys, [row[ROWS] for row in found], task_rows)
+    spark = df.sparkSession
+    counted = df.select(*keys).groupBy(*keys).agg(F.count(F.lit(1)).alias(ROWS)).where(F.col(ROWS) > task_rows)
+    counted = counted.select([F.col(k).alias(HOT + k) for k in keys] + [ROWS])
+    path = f"{checkpoint_folder(spark)}/hot-keys-{uuid.uuid4().hex}"
+    counted.write.parquet(path)
+    found = spark.read.schema(counted.schema).parquet(path)
+    size = found.agg(F.sum(ROWS).alias("rows"), F.max(ROWS).alias("largest")).first()
+    return HotKeys(found.drop(ROWS), keys, size["rows"] or 0, size["largest"] or 0, task_rows)
 
 
 def salted_join(
@@ -85,10 +84,10 @@ def salted_join(
     """Join whose hot left keys are spread over several tasks.
 
     Meant for a large left side and a right side with few rows per key. The
-    salt is a hash of the left row, so a repeated task gives the same rows;
-    right rows of a hot key are repeated once per salt. The keys are counted in
-    ``sizes`` if given: a stored table with the same hot keys is cheaper to count
-    than a derived left side.
+    salt is a hash of the left row, so a repeated task gives the same rows (and rows
+    alike in every column stay together); right rows of a hot key are repeated once per
+    salt. The keys are counted in ``sizes`` if given: a stored table with the same hot
+    keys is cheaper to count than a derived left side.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         # Right rows are repeated per salt, so unmatched ones would surface more than once.
@@ -99,7 +98,7 @@ def salted_join(
     salts = hot.pieces_per_key
 
     def marked(df: DataFrame) -> DataFrame:
-        flagged = F.broadcast(hot.frame.withColumn(SALT, F.lit(True)))
+        flagged = hot.frame.withColumn(SALT, F.lit(True))
         joined = df.join(flagged, same_keys(df, flagged, keys, HOT), "left")
         return joined.drop(*[HOT + k for k in keys])
 

@@ -23,22 +23,38 @@ from tidemark.functions.columns import (
     matching,
     upper_trim,
 )
-from tidemark.functions.expressions import any_flag, zero_if_null
+from tidemark.functions.expressions import any_flag, same_keys, zero_if_null
 from tidemark.operators.latest import latest_record
 from tidemark.sources.tables import INGESTION_DAY, days_between, on_day
 
 FREE_FIELDS = ("freedatefield_*", "freeintfield_*", "freetextfield_*")
 DIVISION = ("environment", "divisioncode")
 
+# Kinds of counters by their names. A column of no kind here, or among the floats and
+# moments below, keeps its type.
+COUNTERS = (
+    "*count", "*countimport", "*countmanual", "*countforlast90days", "*maxlines", "*maxlinesimport",
+    "*maxlinesmanual", "*transactions", "*transactionsimport", "*transactionsmanual", "*transactionfeeds",
+    "*accounts", "*links", "*linksbgw*", "*files", "*exists", "*setting", "*sizekb", "*levelmax", "*proposals",
+    "backup*batch", "backupsinuse", "glaccountclassificationlinks*", "hrmapprove*", "inconsistent*",
+    "intrastat*", "mailboxprocessed*", "pageviewslast*", "payroll*", "project*", "source*", "xbrldocuments*",
+    "automaticbanklink", "conversionsource", "division", "divisioncode", "purchaseentryapprovalenabled",
+    "scanningserviceautomaticbooking", "taxreturnmethod", "templatedivision", "useallownegativestock",
+    "usemandatoryserialnumber", "usereceivemorethanordered", "usesalesorderapproval", "usetranssmart",
+)
+
 
 def statistics_types(columns: Sequence[str], text: Sequence[str] = STATISTICS_TEXT) -> dict:
-    """Column types by name: averages are floats, moments timestamps, the rest counters."""
+    """Column types by name: averages are floats, moments timestamps, ``COUNTERS`` whole numbers.
+
+    Other columns, and those named in ``text``, are left as they are.
+    """
     kept = set(matching(columns, text))
     typed = [name for name in columns if name not in kept]
     floats = matching(typed, ["*avg*", "*average*", "*boundarysetting"])
     times = matching(typed, ["*date", "*lastusage", "last*", "syscreated", "sysmodified", "cigcopytime"])
     times = [n for n in times if n.lower() != STATISTICS_COUNTER_ENDING_IN_DATE]
-    counters = [n for n in typed if n not in floats and n not in times]
+    counters = [n for n in matching(typed, COUNTERS) if n not in floats and n not in times]
     return {"float": floats, "timestamp": times, "long": counters}
 
 
@@ -142,7 +158,8 @@ def summary_upsert(
 
     With ``until`` the raw table is cut to the ingestion days after the last
     update first, and all of them are handled in one pass: a later ingestion day
-    beats an earlier one, then the later copy time decides.
+    beats an earlier one, then the later copy time decides. The summary holds one row per
+    division; rows without news pass unchanged, without a ranking.
     """
     order = ["cigcopytime desc", *tie_breakers]
     if until is not None:
@@ -155,7 +172,7 @@ def summary_upsert(
     newest = drop_columns(newest, FREE_FIELDS)
     newest = cast_columns(newest, statistics_types(newest.columns))
     newest = with_bank_link(newest.withColumnRenamed("division", "divisioncode"))
-    old = summary.withColumn("_order", F.lit(1))
-    new = newest.withColumn("_order", F.lit(2))
-    united = old.unionByName(new, allowMissingColumns=True)
-    return latest_record(united, DIVISION, ["_order desc"]).drop("_order")
+    changed = raw.select(F.col("environment").alias("_new_environment"), F.col("division").alias("_new_divisioncode"))
+    changed = changed.distinct()
+    old = summary.join(changed, same_keys(summary, changed, DIVISION, "_new_"), "left_anti")
+    return old.unionByName(newest, allowMissingColumns=True)

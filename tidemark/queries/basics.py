@@ -48,11 +48,11 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def latest_per_user(spark, sf_dir):
-    return latest_record(events(spark, sf_dir), ["user_id"], NEWEST)
+    return latest_record(events(spark, sf_dir), ["user_id"], NEWEST, aggregate=True)
 
 
 def latest_per_user_and_type(spark, sf_dir):
-    return latest_record(events(spark, sf_dir), ["user_id", "event_type"], NEWEST)
+    return latest_record(events(spark, sf_dir), ["user_id", "event_type"], NEWEST, aggregate=True)
 
 
 PURCHASES = Loader(
@@ -154,6 +154,29 @@ def activity_log_types(spark, sf_dir):
     return typed_log(log, "mail_intake")
 
 
+def upload_log_types(spark, sf_dir):
+    log = table(spark, sf_dir, "events").select(
+        "event_id",
+        F.col("ts").cast("string").alias("logdatetime"),
+        (F.col("event_id") % 9).cast("string").alias("activitytype"),
+        F.concat(F.col("user_id").cast("string"), F.lit(".75")).alias("fordivision"),
+    )
+    return typed_log(log, "scan_upload")
+
+
+def scanning_log_types(spark, sf_dir):
+    log = table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        F.col("o_orderdate").cast("string").alias("logdatetime"),
+        F.col("o_orderstatus").alias("messagestatusinternal"),
+        F.col("o_custkey").cast("string").alias("pickedupduration"),
+        F.when(F.col("o_orderkey") % 3 != 0, F.col("o_orderkey").cast("string")).alias("returnedduration"),
+        F.concat(F.col("o_custkey").cast("string"), F.lit(".5")).alias("totalduration"),
+        F.col("o_orderpriority").alias("remark"),
+    )
+    return typed_log(log, "scanning")
+
+
 def code_parts(spark, sf_dir):
     return table(spark, sf_dir, "orders").select("o_orderkey", dotted_code(F.col("o_orderkey").cast("string")).alias("requestcode"))
 
@@ -346,6 +369,8 @@ QUERIES = {
     "contact_free_view": contacts_removed,
     "contract_view": contract_columns,
     "typed_log": activity_log_types,
+    "typed_upload_log": upload_log_types,
+    "typed_scanning_log": scanning_log_types,
     "dotted_code": code_parts,
     "status_names": status_names,
     "code_from_text": codes_in_text,
@@ -422,6 +447,16 @@ ORACLES = {
     "typed_log": """
         select event_id, ts as logdatetime, cast(null as integer) as activitytype,
                cast(user_id as integer) as messagetype from events""",
+    "typed_upload_log": """
+        select event_id, ts as logdatetime, cast(event_id % 9 as integer) as activitytype,
+               cast(user_id as integer) as fordivision from events""",
+    "typed_scanning_log": """
+        select o_orderkey, cast(o_orderdate as timestamp) as logdatetime,
+               try_cast(o_orderstatus as integer) as messagestatusinternal,
+               cast(o_custkey as integer) as pickedupduration,
+               cast(case when o_orderkey % 3 <> 0 then o_orderkey end as integer) as returnedduration,
+               cast(o_custkey as integer) as totalduration, o_orderpriority as remark
+        from orders""",
     "dotted_code": """
         select o_orderkey, substring(p, 1, 2) || '.' || substring(p, 3, 3) || '.' || substring(p, 6, 8) as requestcode
         from (select o_orderkey, lpad(cast(o_orderkey as varchar), 8, '0') as p from orders) t""",

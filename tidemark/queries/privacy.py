@@ -12,6 +12,7 @@ from tidemark.plans.privacy import (
     deletion_log,
     erase_accounts,
     erase_crm_accounts,
+    erase_crm_contacts,
     erase_crm_users,
     erase_persons,
     erase_users,
@@ -43,6 +44,17 @@ def anonymised_labels(spark, sf_dir):
     return deletion_log(raw, "accountid", AFTER, UNTIL)
 
 
+def anonymised_persons(spark, sf_dir):
+    raw = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("id"),
+        (F.col("c_acctbal") < 0).alias("isanonymized"),
+        F.lit("2024").alias("ingestionyear"),
+        F.lit("01").alias("ingestionmonth"),
+        F.lpad((F.col("c_custkey") % 28 + 1).cast("string"), 2, "0").alias("ingestionday"),
+    )
+    return deletion_log(raw, "personid", AFTER, UNTIL)
+
+
 def ids_to_erase(spark, sf_dir):
     return pending_ids(anonymised_labels(spark, sf_dir), date(2024, 1, 10), UNTIL)
 
@@ -85,6 +97,21 @@ def erased_crm_users(spark, sf_dir):
     return erase_crm_users(_event_history(spark, sf_dir), persons, users)
 
 
+def erased_crm_contacts(spark, sf_dir):
+    raw = table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("id"),
+        F.concat(F.lit("U"), (F.col("o_orderkey") % 60).cast("string")).alias("userid__c"),
+        F.col("o_orderdate").cast("string").alias("cigcopytime"),
+        "o_orderkey",
+    )
+    persons = _toxic(spark, sf_dir).select((F.col("doc_id") % 20).alias("personid"))
+    users = table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").alias("personid"),
+        F.concat(F.lit("U"), (F.col("s_suppkey") % 60).cast("string")).alias("userid"),
+    )
+    return erase_crm_contacts(raw, persons, users, ties=["o_orderkey desc"])
+
+
 def erased_crm_accounts(spark, sf_dir):
     raw = table(spark, sf_dir, "orders").select(
         F.col("o_custkey").alias("id"),
@@ -118,12 +145,14 @@ def files_to_rewrite(spark, sf_dir):
 
 QUERIES = {
     "deletion_log": anonymised_labels,
+    "deletion_log_persons": anonymised_persons,
     "pending_ids": ids_to_erase,
     "erase_history": erased_events,
     "erase_accounts": erased_accounts,
     "erase_persons": erased_persons,
     "erase_users": erased_users,
     "erase_crm_users": erased_crm_users,
+    "erase_crm_contacts": erased_crm_contacts,
     "erase_crm_accounts": erased_crm_accounts,
     "redact": redacted_documents,
     "mask_divisions": masked_divisions,
@@ -144,6 +173,9 @@ def _erased(listed: str, copytime: str = "cast(cigcopytime as varchar)") -> str:
 
 ORACLES = {
     "deletion_log": _LOG,
+    "deletion_log_persons": """
+        select c_custkey as personid, 2024 as year, 1 as month, cast(c_custkey % 28 + 1 as integer) as day
+        from customer where c_acctbal < 0 and c_custkey % 28 + 1 > 5 and c_custkey % 28 + 1 <= 20""",
     "pending_ids": f"select distinct accountid from ({_LOG}) l where day > 10",
     "erase_history": f"""
         select event_id, ts, user_id, event_type, value, props from (
@@ -156,6 +188,13 @@ ORACLES = {
         f"""userid__c in (select 'U' || (c_custkey % 60) from customer
             where c_custkey in {_TOXIC.format(n=200)})"""
     ),
+    "erase_crm_contacts": f"""
+        select id, userid__c, cast(d as varchar) as cigcopytime, o_orderkey from (
+            select o_custkey as id, 'U' || (o_orderkey % 60) as userid__c, o_orderdate as d, o_orderkey,
+                   row_number() over (partition by o_custkey order by o_orderdate desc, o_orderkey desc) as rn
+            from orders) r
+        where rn = 1 or userid__c not in (
+            select 'U' || (s_suppkey % 60) from supplier where s_suppkey in {_TOXIC.format(n=20)})""",
     "erase_crm_accounts": f"""
         select id, {CRM_ACCOUNT_COLUMN}, cast(d as varchar) as etlinserttime, cast(d as varchar) as lastmodifieddate, o_orderkey from (
             select o_custkey as id, o_orderkey % 70 as {CRM_ACCOUNT_COLUMN}, o_orderdate as d, o_orderkey,
