@@ -18,6 +18,34 @@ def test_there_is_a_loader_per_table():
     assert len(LOADERS) == 42
 
 
+def test_columns_without_a_type_come_through(spark):
+    often = {"syscreated", "sysmodified", "startdate", "enddate", "division", "descriptiontermid", "cigprocessed"}
+    for name, loader in LOADERS.items():
+        typed = {column for group in loader.types.values() for column in group}
+        selected = set(loader.select) - set(loader.rename.values())
+        named = [*loader.keys, *loader.rename, *selected, *loader.drop, "cigcopytime", "environment", "id"]
+        columns = sorted(typed | often | {c.lower() for c in named} | {"isnewish", "freedatefield_09", "remark"})
+        raw = spark.createDataFrame([("1",) * len(columns)], ", ".join(f"`{c}` string" for c in columns))
+        types = dict(current_state(raw, loader).dtypes)
+        for column in (often | {"isnewish", "freedatefield_09", "remark"}) - typed:
+            new = loader.rename.get(column, column)
+            assert types.get(new, "string") == "string", (name, column)
+            if not loader.select and new not in loader.drop:
+                assert new in types, (name, column)
+
+
+def test_text_without_a_type_is_kept(spark):
+    raw = frame(
+        spark,
+        "id string, environment string, division string, syscreated string, isnewish string, cigcopytime string",
+        ("a", "nl", "12x", "never", "maybe", "2020-01-01"),
+    )
+    assert rows(current_state(raw, LOADERS["itemrelations"]), "division", "syscreated", "isnewish") == [
+        (None, "never", "maybe")
+    ]
+    assert rows(current_state(raw, LOADERS["users"]), "division", "syscreated", "isnewish") == [("12x", None, "maybe")]
+
+
 def test_users(spark):
     raw = frame(
         spark,

@@ -7,18 +7,16 @@ ENVIRONMENTS = ("NL", "UK", "BE", "FR", "US", "ES", "DE")
 
 # Tables ingested each day, and those whose source folder has another name.
 INGESTED_TABLES = (
-    "Accounts ActiveUserDivisions ActiveUserRoles ActivitySectors AppUsageFreeReasons"
-    " AppUsageLines BlockingStatus BusinessTypes Classifications CompanySizes Contacts"
-    " ContractEvents ContractLines ContractMutations Contracts ConversionStatus"
-    " CreditManagementStatus CustomerSubscriptionStatistics DivisionDivisionTypes Divisions"
-    " DivisionStatistics DivisionTypeFeatureSets DivisionTypes Documents ExchangeRates"
-    " ExchangeRateTypes Featuresets FirstAppUsage FirstAppUsagePerDivision"
-    " GLTransactionSources ItemClasses ItemFeaturesets ItemRelationRelations ItemRelations"
-    " ItemRelationTypes Items LeadSources MonthlyAppUsage OAuthClientContracts OAuthClients"
-    " OAuthClientScopes OAuthClientUsers OAuthScopes Opportunities OpportunityStages"
-    " OpportunityStatus PaymentTerms Persons Projects Requests SubscriptionQuotations"
-    " SurveyResults TimeCostTransactions Units UsageEntitlements UsageTransactions"
-    " UserDivisionHistory Users UserTypes UserUserTypes"
+    "ContractMutations ContractEvents ConversionStatus CreditManagementStatus Accounts ActivitySectors"
+    " AppUsageFreeReasons AppUsageLines BlockingStatus BusinessTypes Classifications CompanySizes Contacts"
+    " CustomerSubscriptionStatistics DivisionDivisionTypes ItemFeaturesets Featuresets DivisionStatistics"
+    " DivisionTypes Documents ExchangeRates ExchangeRateTypes FirstAppUsage FirstAppUsagePerDivision"
+    " GLTransactionSources ItemClasses ItemRelationRelations ItemRelations TimeCostTransactions Units"
+    " UsageEntitlements UsageTransactions UserDivisionHistory Users UserTypes UserUserTypes"
+    " ItemRelationTypes Items LeadSources MonthlyAppUsage OAuthClients OAuthClientUsers Opportunities"
+    " OpportunityStages OpportunityStatus PaymentTerms Persons Projects SubscriptionQuotations"
+    " SurveyResults ContractLines Contracts Divisions Requests OAuthClientContracts OAuthScopes"
+    " OAuthClientScopes ActiveUserDivisions ActiveUserRoles DivisionTypeFeatureSets"
 ).split()
 SOURCE_FOLDERS = {
     "ContractLines": "CIG_Contractlines",
@@ -88,23 +86,29 @@ STATISTICS_TEXT = (
 ).split()
 STATISTICS_COUNTER_ENDING_IN_DATE = "inconsistentbalancedate"
 
-# Statistics columns without a place in the daily table, besides the free fields.
+# Statistics columns without a place in the daily table.
 DAILY_DROPPED = (
     "bankaccountscount bankexportfilescount bankimportfilescount banklinkscount cigcopytime"
     " cigprocessed consultancydate conversionsource costtyperestrictions"
-    " documentmissingofficialreturncount employeerestrictions hourtypecount"
-    " hourtyperestrictions ingestionday ingestionmonth ingestionyear itemlistextrafieldscount"
-    " itemtextextrafieldscount lastbackup lastcollected lastcollectedinconsistencies lastcopied"
-    " lastlogin lastrestore officialreturnwithduplicatedetailscount openingbalancefirstdate"
-    " perioddatecheck projectconsolidateitememployeeprojectwbs projectconsolidateitemprojectwbs"
-    " projecthourtypebudget projectplanningcommunicationews"
-    " projectplanningcommunicationoffice365 psnsubscriptionmidtermchangecount"
-    " psnsubscriptiononetimefees purchaseentryapprovalenabled purchaseentryapproverscount"
-    " purchaseorderlastcreationdate rebillingrestrictions salesinvoicefirstdate"
-    " salesorderlastcreationdate scanningserviceautomaticbooking scanningservicelastusage"
-    " shoporderlastcreationdate ssfusercount startuptype syscreated syscreator sysmodified"
-    " sysmodifier taxfrequency taxreturnmethod taxsystem templatecode templatedivision"
-    " workcentercount"
+    " documentmissingofficialreturncount employeerestrictions freedatefield_01 freedatefield_02"
+    " freedatefield_03 freedatefield_04 freedatefield_05 freedatefield_06 freedatefield_07"
+    " freedatefield_08 freedatefield_09 freedatefield_10 freeintfield_01 freeintfield_02"
+    " freeintfield_03 freeintfield_04 freeintfield_05 freeintfield_06 freeintfield_07"
+    " freeintfield_08 freeintfield_09 freeintfield_10 freeintfield_11 freeintfield_12"
+    " freeintfield_13 freeintfield_14 freeintfield_15 freeintfield_16 freeintfield_17"
+    " freeintfield_18 freeintfield_19 freeintfield_20 freetextfield_01 freetextfield_02"
+    " freetextfield_03 freetextfield_04 freetextfield_05 hourtypecount hourtyperestrictions"
+    " ingestionday ingestionmonth ingestionyear itemlistextrafieldscount itemtextextrafieldscount"
+    " lastbackup lastcollected lastcollectedinconsistencies lastcopied lastlogin lastrestore"
+    " officialreturnwithduplicatedetailscount openingbalancefirstdate perioddatecheck"
+    " projectconsolidateitememployeeprojectwbs projectconsolidateitemprojectwbs"
+    " projecthourtypebudget projectplanningcommunicationews projectplanningcommunicationoffice365"
+    " psnsubscriptionmidtermchangecount psnsubscriptiononetimefees purchaseentryapprovalenabled"
+    " purchaseentryapproverscount purchaseorderlastcreationdate rebillingrestrictions"
+    " salesinvoicefirstdate salesorderlastcreationdate scanningserviceautomaticbooking"
+    " scanningservicelastusage shoporderlastcreationdate ssfusercount startuptype syscreated"
+    " syscreator sysmodified sysmodifier taxfrequency taxreturnmethod taxsystem templatecode"
+    " templatedivision workcentercount"
 ).split()
 
 # Counters compared from day to day.

@@ -27,7 +27,6 @@ from tidemark.functions.expressions import any_flag, same_keys, zero_if_null
 from tidemark.operators.latest import latest_record
 from tidemark.sources.tables import INGESTION_DAY, days_between, on_day
 
-FREE_FIELDS = ("freedatefield_*", "freeintfield_*", "freetextfield_*")
 DIVISION = ("environment", "divisioncode")
 
 # Kinds of counters by their names. A column of no kind here, or among the floats and
@@ -70,7 +69,7 @@ def daily_statistics(
     day = cast_columns(on_day(raw, ingestion_day), {"timestamp": ["cigcopytime"]})
     newest = latest_record(day, ["environment", "division"], ["cigcopytime desc", *tie_breakers])
     flagged = with_bank_link(newest.withColumnRenamed("division", "divisioncode"))
-    kept = drop_columns(flagged, [*DAILY_DROPPED, *FREE_FIELDS])
+    kept = drop_columns(flagged, DAILY_DROPPED)
     typed = cast_columns(kept, statistics_types(kept.columns))
     return typed.withColumn("date", F.lit(snapshot_date))
 
@@ -169,7 +168,7 @@ def summary_upsert(
     raw = upper_trim(add_missing_columns(raw, LATER_COUNTERS, "bigint"), ["environment"])
     raw = cast_columns(raw, {"timestamp": ["cigcopytime"], "long": ["division"]})
     newest = latest_record(raw, ["environment", "division"], order)
-    newest = drop_columns(newest, FREE_FIELDS)
+    newest = drop_columns(newest, [name for name in DAILY_DROPPED if name.startswith("free")])
     newest = cast_columns(newest, statistics_types(newest.columns))
     newest = with_bank_link(newest.withColumnRenamed("division", "divisioncode"))
     changed = raw.select(F.col("environment").alias("_new_environment"), F.col("division").alias("_new_divisioncode"))

@@ -59,7 +59,6 @@ PURCHASES = Loader(
     keys=("user_id",),
     order=("ts desc",),
     clean="none",
-    common_types=False,
     rename={"value": "amount"},
     drop=("props",),
     before="event_type = 'purchase'",
@@ -74,7 +73,6 @@ LAST_ORDER = Loader(
     keys=("o_custkey",),
     order=("o_orderdate desc",),
     clean="none",
-    common_types=False,
     after="o_orderdate >= timestamp_ntz '2001-06-01'",
 )
 

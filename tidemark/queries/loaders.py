@@ -9,10 +9,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.plans.loaders import COMMON_TYPES, INGESTION_COLUMNS, LOADERS, Loader, current_state
+from tidemark.plans.loaders import INGESTION_COLUMNS, LOADERS, Loader, current_state
 from tidemark.queries.views import sql_text, table
 
 TIE = "copyno"
+SOMETIMES_TYPED = ("syscreated", "sysmodified", "startdate", "enddate", "division", "descriptiontermid", "isnew")
 
 RAW_VALUES = {
     "identifier": "case when o_orderkey % 2 = 0 then ' ab' || cast(o_custkey as string)"
@@ -28,22 +29,17 @@ RAW_VALUES = {
     "boolean": "case o_orderkey % 6 when 0 then 'True' when 1 then 'false' when 2 then '1'"
     " when 3 then '0' when 4 then '' else 'x' end",
     "double": "case when o_orderkey % 11 = 1 then '-' else cast(o_orderkey as string) || '.5' end",
-    "small": "cast(o_custkey % 5 as string)",
+    "small": "cast(o_custkey % 500 as string)",
     "text": "' v' || cast(o_orderkey % 100 as string)",
 }
 RAW_VALUES["long"] = RAW_VALUES["integer"]
 
 
-def _concrete(pattern: str) -> str:
-    return pattern.replace("*", "x")
-
-
 def raw_columns(name: str, loader: Loader) -> dict[str, str]:
     """Column name to the kind of raw value it gets."""
-    kinds = {_concrete(p): group for group, names in loader.types.items() for p in names}
-    if loader.common_types:
-        for group, names in COMMON_TYPES.items():
-            kinds.update({n: group for n in names if n not in kinds})
+    kinds = {n: group for group, names in loader.types.items() for n in names}
+    # Typed in some tables only; where a loader does not name them, their text has to come through.
+    kinds.update({n: "timestamp" for n in SOMETIMES_TYPED if n not in kinds})
     for column in (*loader.rename, *(loader.select or ()), *loader.drop, *loader.trim):
         known = {new: old for old, new in loader.rename.items()}
         kinds.setdefault(known.get(column, column), "text")
@@ -87,9 +83,7 @@ SQL_CASTS = {
 
 def oracle_statement(name: str, loader: Loader) -> str:
     kinds = raw_columns(name, loader)
-    own = {_concrete(p): group for group, names in loader.types.items() for p in names}
-    common = {n: g for g, names in COMMON_TYPES.items() for n in names} if loader.common_types else {}
-    types = {**common, **own}
+    types = {n: group for group, names in loader.types.items() for n in names}
     typed = []
     for column in kinds:
         value = column
@@ -104,7 +98,7 @@ def oracle_statement(name: str, loader: Loader) -> str:
         typed.append(f"{value} as {column}")
     before = f"where {loader.before}" if loader.before else ""
     order = ", ".join(f"{t} nulls last" if t.endswith("desc") else t for t in (*loader.order, f"{TIE} desc"))
-    dropped = {_concrete(p) for p in loader.drop} | set(INGESTION_COLUMNS)
+    dropped = {*loader.drop, *INGESTION_COLUMNS}
     final = {old: new for old, new in loader.rename.items()}
     out = []
     for column in kinds:
