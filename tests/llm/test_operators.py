@@ -248,6 +248,36 @@ def test_neighbours_on_few_rows_are_exact(spark):
     assert {r["query_id"] for r in found} == {0, 50, 100}
 
 
+def test_neighbours_are_exact_when_few_leaves_are_opened(spark):
+    prepared(spark)
+    rng = np.random.default_rng(3)
+    spread = rng.standard_normal((3_000, 32))
+    centres = rng.standard_normal((40, 32))
+    clustered = centres[rng.integers(0, 40, 3_000)] + 0.05 * rng.standard_normal((3_000, 32))
+    x = np.concatenate([spread, clustered]).astype(np.float32).astype(np.float64)
+    table = spark.createDataFrame(list(enumerate(x.tolist())), "vec_id long, embedding array<float>")
+    found = forest.nearest(table, table.where("vec_id % 50 = 0"), trees=3, leaves=4, leaf_rows=16, sample_rows=500).collect()
+    own = collections.defaultdict(dict)
+    for r in found:
+        own[r["query_id"]][r["rank"]] = r["vec_id"]
+    units = x / np.linalg.norm(x, axis=1, keepdims=True)
+    for q in range(0, len(x), 50):
+        score = units @ units[q]
+        score[q] = -2
+        assert [own[q][r] for r in range(1, 6)] == np.argsort(-score)[:5].tolist()
+
+
+def test_nodes_are_at_least_as_far_as_their_bound():
+    rng = np.random.default_rng(4)
+    x = forest._unit(rng.standard_normal((2_000, 6)))
+    tree = forest.Forest.fit(x[:500], 2_000, trees=2, leaf_rows=64).top(4)
+    nodes = tree.leaves(x)[:, 0]
+    for node in set(nodes.tolist()):
+        nearest = np.linalg.norm(x[:, None, :] - x[nodes == node][None, :, :], axis=2).min(axis=1)
+        bound = tree.distance(node, x)
+        assert (bound <= nearest + 1e-5).all() and bound[nodes == node].max() == 0 < bound.max()
+
+
 def test_language_of_held_out_documents(spark):
     table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     prepared(spark)
