@@ -1,9 +1,13 @@
 """The corpus pipeline on the smallest documents, and the queries' SQL."""
 
+import collections
+
 import duckdb
 import pytest
 
 import corpus_pipeline
+from tidemark.llm import mixing
+from tidemark.llm.mixing import mix_sources
 from tidemark.llm.queries import ORACLES, QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -27,6 +31,33 @@ def test_stages_keep_and_change_what_they_should(spark):
     assert pieces.groupBy("doc_id").agg({"length": "sum"}).count() == before.select("doc_id").distinct().count()
 
 
+def test_mixing_keeps_rows_without_or_with_repeated_ids(spark):
+    rows = [(None if i % 3 == 0 else i // 2, "w " * (1 + i % 7), "de", ("a", "b", "c")[i // 200], 2) for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(5).cache()
+    mixed = corpus_pipeline.mixed_sources(spark, docs, SF_DIR).collect()
+    taken = collections.Counter()
+    for r in mixed:
+        taken[r["source"]] += len(r["text"].split())
+    targets = {r["source"]: r["target"] for r in mix_sources(docs).select("source", "target").distinct().collect()}
+    assert all(abs(taken[s] - targets[s]) <= 7 / 2 + 1 for s in "abc")
+    assert any(r["doc_id"] is None for r in mixed)
+    assert sorted(map(str, mixed)) == sorted(map(str, corpus_pipeline.mixed_sources(spark, docs.repartition(3), SF_DIR).collect()))
+
+
+def test_mixing_deals_alike_rows_over_blocks(spark, monkeypatch):
+    docs = spark.createDataFrame([(None, "a b c", "s" if i % 9 else "t") for i in range(900)], "doc_id long, text string, source string")
+    largest = []
+    fold = mixing._fold
+
+    def watched(units):
+        largest.append(units.groupBy("source", "block").count().agg({"count": "max"}).first()[0])
+        return fold(units)
+
+    monkeypatch.setattr(mixing, "_fold", watched)
+    assert mix_sources(docs, block=30).count() == 900
+    assert max(n for n in largest if n) < 100
+
+
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_sql(spark, name):
     connection = duckdb.connect()

@@ -24,7 +24,7 @@ BLOCK = 128
 
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
-_UNIT = ("doc_id", "place", "source", "size", "whole", "chance", "source_size", "target")
+_UNIT = ("row_key", "doc_id", "place", "source", "size", "whole", "chance", "source_size", "target")
 
 
 def source_targets(sized: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = MOST_COPIES) -> DataFrame:
@@ -88,7 +88,7 @@ def _meet() -> str:
 def _fold(units: DataFrame) -> DataFrame:
     """One row per source and block: ``c``, the open document, and ``done``, the decided ones."""
     kind = (
-        "struct<doc_id: bigint, place: bigint, source: string, size: bigint, whole: bigint, chance: double,"
+        "struct<row_key: bigint, doc_id: bigint, place: bigint, source: string, size: bigint, whole: bigint, chance: double,"
         " source_size: bigint, target: double>"
     )
     # Large documents meet first: what stays open at the end is then a small one.
@@ -101,12 +101,32 @@ def _fold(units: DataFrame) -> DataFrame:
     return ordered.select("source", "block", folded.alias("folded")).select("source", "block", "folded.*")
 
 
+def _numbered(sized: DataFrame) -> DataFrame:
+    """Give rows that share a place places of their own.
+
+    Rows of a place are numbered 0, 1, ... within their part of the input, and on from part to part,
+    so a place that very many rows share is no single task's work.
+    """
+    in_part = Window.partitionBy("place", "part").orderBy("row_key")
+    earlier = Window.partitionBy("place").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = sized.groupBy("place", "part").agg(F.count(F.lit(1)).alias("n"))
+    parts = parts.select("place", "part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    numbered = sized.withColumn("number", F.row_number().over(in_part)).join(parts, ["place", "part"])
+    return numbered.withColumn("place", F.xxhash64("place", F.col("before") + F.col("number"))).drop("part", "before", "number")
+
+
+def with_row_key(docs: DataFrame) -> DataFrame:
+    """The stored rows with ``row_key``: a number of each row, its part of the table in the upper bits."""
+    return stored(docs.withColumn("row_key", F.monotonically_increasing_id()))
+
+
 def mix_sources(
     docs: DataFrame,
     *,
     id_column: str = "doc_id",
     text_column: str = "text",
     source_column: str = "source",
+    key_column: str | None = None,
     weights: Sequence[int] = WEIGHTS,
     block: int = BLOCK,
 ) -> DataFrame:
@@ -115,18 +135,23 @@ def mix_sources(
     Columns: ``doc_id``, ``size`` (words), ``source``, ``source_size``, ``target``, ``copies`` and
     ``taken`` (size times copies). A source misses its target by half a document at most.
     Null text and text without words have size 0 and are taken by their source's whole copies;
-    a null source is a source of its own. Draws depend on ids and texts alone, so reruns agree. The
-    order of documents within a block, too: rows that repeat both id and text are alike.
+    a null source is a source of its own. Draws depend on ids, sources and texts alone, so reruns agree.
+    The order of documents within a block, too: rows that repeat all three are alike, and numbered.
+    ``key_column``: the column of ``with_row_key``, which is then returned as ``row_key``; it tells
+    which row the copies are of, whatever its id.
     """
+    key = F.monotonically_increasing_id() if key_column is None else F.col(key_column)
     # ``place`` tells documents apart and deals them out; it needs no order.
     sized = stored(
         docs.select(
+            key.alias("row_key"),
             F.col(id_column).cast("long").alias("doc_id"),
-            F.xxhash64(id_column, F.length(text_column)).alias("place"),
+            F.xxhash64(id_column, source_column, text_column).alias("place"),
             F.col(source_column).cast("string").alias("source"),
             F.coalesce(F.regexp_count(text_column, F.lit(WORD_PATTERN)), F.lit(0)).cast("long").alias("size"),
-        )
+        ).withColumn("part", F.shiftright("row_key", 33))
     )
+    sized = stored(_numbered(sized))
     targets = stored(source_targets(sized, weights))
     per_source = sized.groupBy("source").agg(F.count(F.lit(1)).alias("documents"))
     plan = targets.alias("t").join(per_source.alias("p"), F.col("t.source").eqNullSafe(F.col("p.source")))
@@ -157,7 +182,7 @@ def mix_sources(
         result = result.unionByName(part)
     result = result.withColumn("copies", F.col("whole") + F.col("chance").cast("long"))
     return result.select(
-        "doc_id", "size", "source", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken")
+        *([] if key_column is None else ["row_key"]), "doc_id", "size", "source", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken")
     )
 
 
