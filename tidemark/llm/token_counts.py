@@ -215,9 +215,10 @@ def frequent_pre_tokens(docs: DataFrame, text_column: str = "text", rows: int =
         )
 
     dealt = drawn.select(text_column).repartition(SAMPLE_TASKS)
+    found = dealt.mapInArrow(count_words, "word binary, n long").toArrow()
     total: Counter[bytes] = Counter()
-    for word, n in dealt.mapInArrow(count_words, "word binary, n long").toLocalIterator():
-        total[bytes(word)] += n
+    for word, n in zip(found.column("word").to_pylist(), found.column("n").to_pylist()):
+        total[word] += n
     return [w for w, _ in sorted(total.items(), key=lambda x: (-x[1], x[0]))[:FREQUENT]]
 
 
