@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.fixed_values import MASK
+from tidemark.functions.expressions import same_keys
 from tidemark.operators.latest import latest_record
 
 LISTED = "_listed"
+KEY = "_key"
 
 
 def listed_rows(df: DataFrame, id_column: str, ids: DataFrame, how: str = "left_semi") -> DataFrame:
@@ -19,6 +21,12 @@ def listed_rows(df: DataFrame, id_column: str, ids: DataFrame, how: str = "left_
     return df.join(wanted, id_column, how)
 
 
+def rows_of_keys(df: DataFrame, key: str, keys: DataFrame) -> DataFrame:
+    """Rows whose key is in a one-column list; NULL is a key like any other."""
+    wanted = keys.select(F.col(keys.columns[0]).alias(KEY)).distinct()
+    return df.join(wanted, df[key].eqNullSafe(wanted[KEY]), "left_semi")
+
+
 def erase_history(
     df: DataFrame,
     key: str,
@@ -39,7 +47,7 @@ def erase_history(
         # The latest record of a key may be one that is not listed.
         touched = listed_rows(df, id_column, ids).select(key)
         marks = ids.select(F.col(ids.columns[0]).alias(id_column)).distinct()
-        ranked = latest_record(df.join(touched, key, "left_semi"), [key], order)
+        ranked = latest_record(rows_of_keys(df, key, touched), [key], order)
         kept = ranked.join(marks, id_column, "left_semi")
     return untouched.unionByName(kept)
 
@@ -70,13 +78,15 @@ def stale_files(
     id_column = id_column or key
     marks = ids.select(F.col(ids.columns[0]).alias(id_column)).distinct().withColumn(LISTED, F.lit(True))
     touched = listed_rows(df, id_column, ids).select(key)
-    rows = df.join(touched, key, "left_semi").join(marks, id_column, "left")
+    rows = rows_of_keys(df, key, touched).join(marks, id_column, "left")
     needed = dict.fromkeys([key, path, LISTED, *(term.partition(" ")[0] for term in order)])
     latest = latest_record(rows.select(*needed), [key], order)
     counts = rows.groupBy(key, path).agg(F.count(LISTED).alias("listed"))
-    latest_here = latest.select(key, path, F.when(F.col(LISTED), 1).otherwise(0).alias("latest"))
+    latest_here = latest.select(
+        F.col(key).alias(KEY + key), F.col(path).alias(KEY + path), F.when(F.col(LISTED), 1).otherwise(0).alias("latest")
+    )
     return (
-        counts.join(latest_here, [key, path], "left")
+        counts.join(latest_here, same_keys(counts, latest_here, [key, path], KEY), "left")
         .where(F.col("listed") > F.coalesce("latest", F.lit(0)))
         .select(path)
         .distinct()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 from datetime import date
 
@@ -11,9 +12,13 @@ from pyspark.sql import types as T
 
 from tidemark.fixed_values import CRM_ACCOUNT_COLUMN, MASKED_COLUMNS
 from tidemark.functions.columns import cast_columns
-from tidemark.operators.erasure import erase_history, listed_rows, mask_columns, stale_files
-from tidemark.sources.sinks import Watermarks, rewrite_folders, write_partitions
-from tidemark.sources.tables import FOLDER, INGESTION_DAY, days_between, partition_columns, with_file_path, with_folder
+from tidemark.operators.erasure import erase_history, listed_rows, mask_columns, rows_of_keys, stale_files
+from tidemark.session import checkpoint_folder
+from tidemark.sources.drift import FILE, GROUP, MARKERS, ROW, DriftingTable
+from tidemark.sources.file_index import FileIndex, indexed_files
+from tidemark.sources.publish import numbered, recover, replace_folders
+from tidemark.sources.sinks import Watermarks, write_partitions
+from tidemark.sources.tables import FOLDER, INGESTION_DAY, days_between, with_file_path
 
 LOG_DAY = ("year", "month", "day")
 NEWEST_COPY = ("cigcopytime desc",)
@@ -112,17 +117,54 @@ def rewrite_history(
     id_column: str,
     change: Callable[[DataFrame, DataFrame], DataFrame],
     staging: str,
+    *,
+    key: str = "id",
+    index: FileIndex | None = None,
 ) -> None:
     """Apply an erasure or masking to a stored table, in the folders that hold listed ids.
 
-    ``change`` is one of the functions above, such as ``erase_accounts``. The latest
-    record is chosen from the whole history of the listed ids; of all other rows
-    only the touched folders are read and written, under the names they have.
+    ``change`` is one of the functions above, such as ``erase_accounts``; it gets the whole history of
+    every ``key`` that has a listed row, files of all kinds united. All other rows of a touched folder
+    are copied as they are stored, with the columns and types of their files, and other folders aren't
+    read beyond the ids and keys. With an index only files that may hold a listed id or key are opened.
+    An interrupted run is finished or discarded first.
     """
-    raw = with_folder(spark.read.parquet(path))
-    parts = partition_columns(spark, path)
-    touched = listed_rows(raw, id_column, ids).select(FOLDER, *parts)
-    rewrite_folders(spark, change(raw, ids), touched, parts, staging)
+    recover(spark, staging)
+    table = DriftingTable(spark, path)
+    kind = table.schema[id_column].dataType
+    listed_ids = ids.select(F.col(ids.columns[0]).cast("string").try_cast(kind).alias("listed")).distinct()
+    wanted = _kept(listed_ids.where(F.col("listed").isNotNull()))
+    listed = listed_rows(table.rows(indexed_files(index, table, wanted, id_column)), id_column, wanted)
+    key = key if key in table.schema.fieldNames() else id_column
+    marks = _kept(listed.select(F.col(key).alias("key"), FOLDER))
+    folders = sorted(r[0] for r in marks.select(FOLDER).distinct().collect())
+    if not folders:
+        return
+    keys = marks.select("key").distinct()
+    # Rows with a NULL key may lie in any file: no index holds them.
+    nowhere = None if index is None or not keys.where(F.col("key").isNull()).isEmpty() else index
+    history = _kept(rows_of_keys(table.rows(indexed_files(nowhere, table, keys, key)), key, keys))
+    changed = _kept(change(history, wanted))
+    touched = set(folders)
+    frames = []
+    for number, group in enumerate(table.groups):
+        here = [f for f in group.files if f.rsplit("/", 1)[0] in touched]
+        stored = table.stored_rows(number, here) if here else None
+        if stored is None:
+            continue
+        others = stored.join(history.select(FILE, ROW), [FILE, ROW], "left_anti")
+        own = table.returned(changed.where(F.col(GROUP) == number), number)
+        rows = numbered(spark, others.unionByName(own), folders)
+        frames.append(rows.drop(FOLDER, *MARKERS, *[f.name for f in table.partitions]))
+    replace_folders(spark, frames, folders, staging)
+
+
+def _kept(df: DataFrame) -> DataFrame:
+    """A small intermediate result in the shared folder, read more than once."""
+    spark = df.sparkSession
+    path = f"{checkpoint_folder(spark)}/erasure-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def run_erasure(
@@ -135,9 +177,16 @@ def run_erasure(
     item: str,
     until: date,
     staging: str,
+    index: FileIndex | None = None,
 ) -> None:
-    """Erase the ids logged since the last run from a table, then move the watermark."""
+    """Erase the ids logged since the last run from a table, then move the watermark.
+
+    What an interrupted run has staged is dealt with even if nothing new is logged.
+    """
+    recover(spark, staging)
     ids = pending_ids(log, watermarks.get(item), until)
     if not ids.isEmpty():
-        rewrite_history(spark, path, ids, id_column, change, staging)
+        rewrite_history(spark, path, ids, id_column, change, staging, index=index)
+        if index is not None:
+            index.update(DriftingTable(spark, path))
     watermarks.store({item: until})

@@ -37,6 +37,28 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     system.delete(jvm_path, True)
 
 
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a file or folder within one file system; the target must not exist."""
+    system, jvm_target = _open(spark, target)
+    if system.exists(jvm_target):
+        raise FileExistsError(target)
+    system.mkdirs(jvm_target.getParent())
+    if not system.rename(spark._jvm.org.apache.hadoop.fs.Path(source), jvm_target):
+        raise OSError(f"could not rename {source} to {target}; both must lie in one file system")
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file that is there as a whole or not at all."""
+    draft = f"{path}.draft"
+    system, jvm_draft = _open(spark, draft)
+    stream = system.create(jvm_draft, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    move(spark, draft, path)
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     """A small settings file as one string."""
     row = spark.read.text(path, wholetext=True).first()

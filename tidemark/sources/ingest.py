@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterable, Sequence
-from dataclasses import dataclass
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, field
 from datetime import date, datetime
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -83,6 +85,61 @@ def ingest_table(
     return True
 
 
+@dataclass
+class IngestReport:
+    """What became of each table of a run."""
+
+    done: list[str] = field(default_factory=list)
+    without_data: list[str] = field(default_factory=list)
+    failed: dict[str, Exception] = field(default_factory=dict)
+
+
+class IngestionError(RuntimeError):
+    """Some tables failed; the others were ingested. ``report`` names them all."""
+
+    def __init__(self, report: IngestReport):
+        causes = "; ".join(f"{name}: {type(e).__name__}: {str(e).splitlines()[0]}" for name, e in report.failed.items())
+        super().__init__(f"{len(report.failed)} of the tables failed: {causes}")
+        self.report = report
+
+
+def ingest_report(
+    spark: SparkSession,
+    tables: Sequence[SourceTable],
+    source_root: str,
+    destination_root: str,
+    copied_at: datetime,
+    environments: Iterable[str] = ENVIRONMENTS,
+    *,
+    at_once: int = 8,
+) -> IngestReport:
+    """Ingest every enabled table, some at once, and report on each.
+
+    A thread of the driver submits the jobs of one table; each has a scheduler pool of its own, so
+    under Spark's fair scheduling a large table doesn't hold up the small ones. A table that
+    fails neither stops nor hides the others.
+    """
+    wanted = [table for table in tables if table.is_enabled]
+    environments = list(environments)
+
+    @inheritable_thread_target(spark)
+    def one(table: SourceTable) -> bool:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"ingest-{table.table_name}")
+        try:
+            return ingest_table(spark, table, source_root, destination_root, copied_at, environments)
+        finally:
+            spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
+
+    report = IngestReport()
+    with ThreadPoolExecutor(max_workers=max(1, at_once)) as pool:
+        for table, job in [(table, pool.submit(one, table)) for table in wanted]:
+            try:
+                (report.done if job.result() else report.without_data).append(table.table_name)
+            except Exception as error:  # noqa: BLE001 - reported below
+                report.failed[table.table_name] = error
+    return report
+
+
 def ingest_all(
     spark: SparkSession,
     tables: Sequence[SourceTable],
@@ -90,11 +147,13 @@ def ingest_all(
     destination_root: str,
     copied_at: datetime,
     environments: Iterable[str] = ENVIRONMENTS,
+    *,
+    at_once: int = 8,
 ) -> list[str]:
-    """Ingest every enabled table; returns the names that had data."""
-    return [
-        table.table_name
-        for table in tables
-        if table.is_enabled
-        and ingest_table(spark, table, source_root, destination_root, copied_at, environments)
-    ]
+    """Ingest every enabled table; returns the names that had data, or raises once all were tried."""
+    report = ingest_report(
+        spark, tables, source_root, destination_root, copied_at, environments, at_once=at_once
+    )
+    if report.failed:
+        raise IngestionError(report)
+    return report.done

@@ -8,6 +8,8 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.sources.files import child_names
+
 INGESTION_DAY = ("ingestionyear", "ingestionmonth", "ingestionday")
 FOLDER = "_folder"
 
@@ -58,6 +60,24 @@ def on_day(df: DataFrame, day: date, parts: Sequence[str] = INGESTION_DAY) -> Da
     )
 
 
+def newest_day(spark: SparkSession, path: str, parts: Sequence[str] = INGESTION_DAY) -> date | None:
+    """The last day that a stored table has a folder for, from the folder names alone."""
+
+    def last(folder: str, left: Sequence[str]) -> tuple[int, ...] | None:
+        if not left:
+            return ()
+        pairs = [(*name.partition("=")[::2], name) for name in child_names(spark, folder)]
+        found = [(int(value), name) for key, value, name in pairs if key.lower() == left[0].lower() and value.isdigit()]
+        for number, name in sorted(found, reverse=True):
+            rest = last(f"{folder}/{name}", left[1:])
+            if rest is not None:
+                return (number, *rest)
+        return None
+
+    found = last(path.rstrip("/"), parts)
+    return date(*found) if found else None
+
+
 def with_file_path(df: DataFrame, name: str = "path") -> DataFrame:
     """Add the file each row was read from."""
     return df.withColumn(name, F.col("_metadata.file_path"))
@@ -82,13 +102,3 @@ def with_folder(df: DataFrame) -> DataFrame:
     """Append the folder of each row's file, as it is stored."""
     path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
     return df.withColumn(FOLDER, F.regexp_replace(path, "/[^/]*$", ""))
-
-
-def partition_columns(spark: SparkSession, path: str) -> list[str]:
-    """Names of the columns that are stored as folders, spelled as stored."""
-    row = with_folder(spark.read.parquet(path)).select(FOLDER).first()
-    if row is None:
-        return []
-    root = path.rstrip("/").rsplit("/", 1)[-1]
-    below = row[0].rsplit(f"/{root}", 1)[-1]
-    return [part.split("=", 1)[0] for part in below.split("/") if "=" in part]
