@@ -1,6 +1,8 @@
+from dataclasses import replace
 from datetime import date, datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.frames import day, frame, rows, time
 from tidemark.plans import setup as rules
@@ -9,15 +11,20 @@ from tidemark.plans.key_events import (
     Bounds,
     EventSources,
     STORE_COLUMNS,
+    advance_firsts,
     contract_accounts,
+    counter_conditions,
     counter_events,
     earliest_copy,
     event_watermarks,
+    first_times,
+    firsts_table,
     legislation_events,
     merge_events,
     update_store,
 )
 from tidemark.sources.sinks import VersionedTable, Watermarks
+from tidemark.sources.tables import days_between
 
 TODAY = date(2024, 6, 1)
 STORE = (
@@ -394,8 +401,8 @@ def test_imports(spark):
     ]
 
 
-@pytest.mark.parametrize("task_rows", [2, 5_000_000])
-def test_save_moments(spark, task_rows):
+@pytest.mark.parametrize("piece_rows", [1, 1_000_000])
+def test_save_moments(spark, piece_rows):
     log = activity(
         spark,
         # Exactly five is not beyond the threshold; other activities count as well.
@@ -408,7 +415,7 @@ def test_save_moments(spark, task_rows):
         (3, "511006", "2024-01-01", 3),
         (4, "9", "2024-01-01", 9),
     )
-    found = rules.save_moments(log, task_rows=task_rows)
+    found = rules.save_moments(log, piece_rows=piece_rows)
     assert rows(found, "divisioncode", "firstsave", "fifthsave") == [
         (1, time("2024-01-01"), None),
         (2, time("2024-01-02"), time("2024-01-02")),
@@ -441,3 +448,70 @@ def test_startup_rules(spark):
         (6, "AccountantTemplate", None),
         (7, "Demo", None),
     ]
+
+
+def test_one_pass_over_the_activity_gives_all_facts(spark):
+    """The same access, imports and saves as the two operators that read the activity each."""
+    setup = frame(
+        spark, SETUP,
+        *[division(n) for n in range(1, 9)], division(9, account="other"), division(10, account=None),
+    )
+    kinds = ("1", "5304", "5335", "5304202", "5334202", "511006", "9")
+    log = activity(
+        spark,
+        *[(n, kinds[(n * i) % 7], f"2024-01-{1 + i % 20:02d}", i % 3) for n in range(1, 11) for i in range(1, 25)],
+    )
+    two = rules.with_save_moments(rules.with_activity_facts(setup, log), rules.save_moments(log))
+    one = rules.with_all_activity(setup, log)
+    names = ["divisioncode", *rules.FACT_COLUMNS, *rules.SAVE_COLUMNS]
+    assert rows(one, *names) == rows(two, *names) and one.count() == setup.count()
+    assert one.where("fifthsave is not null").count() > 2
+
+
+def test_the_cascade_reads_the_activity_once(spark, tmp_path):
+    from tidemark.queries.setup import setup_sources
+
+    setup, sources = setup_sources(spark, "/root/testdata/sf0.001")
+    sources.activity.write.parquet(str(tmp_path / "activity"))
+    stored = replace(sources, activity=spark.read.parquet(str(tmp_path / "activity")))
+    spark.sparkContext.setJobGroup("cascade", "cascade")
+    try:
+        result = rules.master_data_setup(setup, stored)
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("cascade")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    assert sum("FileScan parquet" in line and "activityid#" in line for line in plan.splitlines()) == 1
+
+
+def test_stored_first_moments_give_the_events_of_the_whole_history(spark, tmp_path, divisions, contracts):
+    """Days in three portions, one of them late and out of order, against one scan of everything."""
+    history = daily(
+        spark,
+        *[(n, f"2024-0{m}-{d:02d}", {"accountcount": (n * d) % 3, "opportunitycount": (m * d * n) % 5 // 3, "bankentrycountmanual": None})
+          for n in (1, 2, 3) for m in (2, 3, 4) for d in (1, 9, 17)],
+    )
+    bounds = Bounds(datetime(2024, 4, 10), {"First Account Card": date(2024, 1, 1)})
+    firsts = firsts_table(spark, str(tmp_path / "firsts"), 4)
+    month = F.month("date")
+    for portion in (history.where(month == 3), history.where(month == 2), history.where((month == 4) & (F.dayofmonth("date") <= 10))):
+        advance_firsts(firsts, portion, "date", counter_conditions())
+    whole = counter_events(history, divisions, contracts, bounds, TODAY)
+    stored = counter_events(history.limit(0), divisions, contracts, bounds, TODAY, firsts.read())
+    assert rows(stored, *STORE_COLUMNS) == rows(whole, *STORE_COLUMNS) and whole.count() > 3
+    before = {f: f.stat().st_mtime_ns for f in (tmp_path / "firsts").rglob("*.parquet")}
+    advance_firsts(firsts, history.where(month <= 4), "date", counter_conditions())
+    assert {f: f.stat().st_mtime_ns for f in (tmp_path / "firsts").rglob("*.parquet")} == before
+
+
+def test_the_store_reads_new_days_only(spark, tmp_path, divisions, contracts):
+    history = daily(spark, (1, "2024-02-01", {"accountcount": 1}), (2, "2024-03-01", {"accountcount": 1}), (3, "2024-04-01", {"accountcount": 1}))
+    path = str(tmp_path / "daily")
+    parts = {"Year": F.year("date"), "Month": F.month("date"), "Day": F.dayofmonth("date")}
+    history.withColumns(parts).write.partitionBy(*parts).parquet(path)
+    stored = spark.read.parquet(path)
+    pending = days_between(stored, date(2024, 2, 15), date(2024, 3, 15), ("Year", "Month", "Day"))
+    firsts = first_times(pending, ["environment", "divisioncode"], "date", counter_conditions())
+    assert rows(firsts, "divisioncode") == [(2,)]
+    plan = firsts._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "make_date" in plan.split("PartitionFilters: ")[1].split("]")[0]

@@ -4,8 +4,18 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.frames import day, frame, rows, time
-from tidemark.fixed_values import CHANGE_COUNTERS
-from tidemark.plans.jobs import run_daily_changes, run_daily_statistics, run_glitch_repair, run_summary
+from tidemark.fixed_values import CHANGE_COUNTERS, STATISTICS_ADDED, STATISTICS_COUNTERS, STATISTICS_FLOATS, STATISTICS_MOMENTS
+from tidemark.plans.jobs import (
+    changes_state,
+    run_daily_changes,
+    run_daily_statistics,
+    run_glitch_repair,
+    run_lifecycle_log,
+    run_month_end_owner,
+    run_newest_changes,
+    run_summary,
+    run_summary_buckets,
+)
 from tidemark.plans.lifecycle import lifecycle_log
 from tidemark.plans.ownership import month_end_owner
 from tidemark.plans.statistics import (
@@ -16,7 +26,9 @@ from tidemark.plans.statistics import (
     zero_glitch_repair,
     zero_glitch_rows,
 )
+from tidemark.sources.buckets import BucketedTable
 from tidemark.sources.sinks import VersionedTable, Watermarks
+from tidemark.sources.tables import newest_day
 
 RAW_STATISTICS = (
     "environment string, division string, cigcopytime string, banklinkscount string, rabobanklinks long,"
@@ -30,27 +42,33 @@ def raw_row(division, copied, counter, links=None, environment="NL"):
     return (environment, division, copied, None, links, None, None, counter, "1.5", 1, None, parts.year, parts.month, parts.day)
 
 
-def test_statistics_types_by_name():
+def test_only_listed_statistics_are_typed():
     columns = (
-        "environment mail2xpurchaseemail mail2xpurchaseemaillastusage cashentryavglines divisioncode"
+        "environment mail2eolpurchaseemail mail2eolpurchaseemaillastusage CashEntryAvgLines divisioncode"
         " psnaveragesubscriptioninvoiceamount inconsistentbalancedate lastlogin syscreated syscreator"
-        " smartmatchingwriteoffboundarysetting batchesperpaymentfileavgcount salesinvoicefirstdate"
+        " smartmatchingwriteoffboundarysetting batchesperpaymentfileavgcount salesinvoicefirstdate knabbankaccounts"
     ).split()
     types = statistics_types(columns)
-    assert types["float"] == [
-        "cashentryavglines",
+    assert set(types["float"]) == {
+        "CashEntryAvgLines",
         "psnaveragesubscriptioninvoiceamount",
         "smartmatchingwriteoffboundarysetting",
         "batchesperpaymentfileavgcount",
-    ]
-    assert types["timestamp"] == [
-        "mail2xpurchaseemaillastusage",
-        "lastlogin",
-        "syscreated",
-        "salesinvoicefirstdate",
-    ]
-    assert types["long"] == ["divisioncode", "inconsistentbalancedate"]
-    assert not any(statistics_types(["companydescription", "vatnumber", "customer"]).values())
+    }
+    assert set(types["timestamp"]) == {"mail2eolpurchaseemaillastusage", "lastlogin", "syscreated", "salesinvoicefirstdate"}
+    assert set(types["long"]) == {"divisioncode", "inconsistentbalancedate", "knabbankaccounts"}
+    assert "knabbankaccounts" not in statistics_types(columns, STATISTICS_ADDED)["long"]
+    listed = [*STATISTICS_FLOATS, *STATISTICS_COUNTERS, *STATISTICS_MOMENTS]
+    assert len(listed) == len(set(listed)) == 343
+
+
+def test_texts_with_names_like_counters_stay(spark):
+    raw = frame(spark, RAW_STATISTICS, raw_row("1", "2024-01-02 01:00:00", "5"))
+    names = ("projectmanager", "sourcename", "payrollnote", "linkedaccounts", "storedfiles", "vatsetting", "companydescription")
+    raw = raw.withColumns({n: F.lit(f"{n} text") for n in names})
+    empty = frame(spark, "environment string, divisioncode long", ("NL", 9))
+    for found in (daily_statistics(raw, date(2024, 1, 2), date(2024, 1, 1)), summary_upsert(raw, empty).where("divisioncode = 1")):
+        assert rows(found, *names) == [tuple(f"{n} text" for n in names)]
 
 
 def test_daily_statistics(spark):
@@ -199,8 +217,8 @@ def copy(code, copied, blocking="0", status="0", deleted=None, end=None, env="NL
     return (code, env, blocking, status, deleted, end, "2015-01-01", f"{copied} 12:00:00", copied)
 
 
-@pytest.mark.parametrize("task_rows", [1, 5_000_000])
-def test_lifecycle(spark, task_rows):
+@pytest.mark.parametrize("piece_rows", [1, 1_000_000])
+def test_lifecycle(spark, piece_rows):
     raw = frame(
         spark,
         DIVISIONS,
@@ -226,7 +244,7 @@ def test_lifecycle(spark, task_rows):
         copy("6", "2017-03-01", blocking="100"),
         copy("6", "2017-04-01", blocking="101", deleted="2017-03-30"),
     )
-    log = lifecycle_log(raw, date(2020, 1, 1), task_rows=task_rows)
+    log = lifecycle_log(raw, date(2020, 1, 1), piece_rows=piece_rows)
     found = {row.divisioncode: row for row in log.collect()}
     start = time("2015-01-01")
     assert all(found[n].startdate == start and found[n].yearmonthstarted == 201501 for n in range(1, 7))
@@ -281,3 +299,90 @@ def test_month_end_owner_with_a_calendar_cut_inside_a_month(spark):
     days = calendar(spark, "2024-01-01", "2024-02-10")
     found = month_end_owner(accounts, days, date(2024, 3, 1))
     assert rows(found, "date") == [(day("2024-01-31"),), (day("2024-02-10"),)]
+
+
+@pytest.mark.parametrize("period", ["yyyyMM", "week", "day"])
+def test_owner_on_any_calendar_equals_a_range_join(spark, period):
+    moments = F.date_add(F.lit(day("2023-01-01")), (F.col("id") * 53 % 400).cast("int"))
+    accounts = spark.range(80).select((F.col("id") % 7).alias("id"), (F.col("id") % 5).alias("accountant"), moments.cast("string").alias("cigcopytime"))
+    days = calendar(spark, "2023-02-03", "2024-03-09")
+    if period == "yyyyMM":
+        days = days.withColumn("part", F.col("yearmonth"))
+    else:
+        days = days.withColumn("part", F.trunc("calendardate", "week") if period == "week" else F.col("calendardate"))
+    found = month_end_owner(accounts, days, date(2024, 3, 1), period="part")
+    plain = spark.sql(
+        """with h as (select id, accountant, last_day(cast(cigcopytime as date)) as start, row_number() over (
+                        partition by id, last_day(cast(cigcopytime as date)) order by cigcopytime desc, accountant desc) as rn from {a}),
+           held as (select *, date_sub(lead(start, 1, date '2024-03-01') over (partition by id order by start), 1) as last from h where rn = 1),
+           ends as (select max(calendardate) as d from {c} group by part)
+           select id as accountid, d as date, accountant as accountantid from held join ends on d between start and last""",
+        a=accounts, c=days,
+    )
+    assert rows(found, "accountid", "date") == rows(plain, "accountid", "date") and plain.count() > 50
+    assert "NestedLoop" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_changes_of_the_newest_day_read_that_day_and_the_state(spark, tmp_path):
+    path, marks = str(tmp_path / "daily"), Watermarks(spark, str(tmp_path / "marks"))
+    state = changes_state(spark, str(tmp_path / "state"), 4)
+    counters = ["gltransactionscount", "vattransactions"]
+    data = [("NL", n, day(f"2024-01-{d:02d}"), n * d % 7, None if n % 2 else d) for n in range(1, 9) for d in range(1, 8) if (n + d) % 3]
+    schema = "environment string, divisioncode long, date date, gltransactionscount long, vattransactions long"
+    history = frame(spark, schema, *data)
+    parts = {"Year": F.year("date"), "Month": F.month("date"), "Day": F.dayofmonth("date")}
+    for last in (3, 4, 7):
+        days = history.where(F.dayofmonth("date") <= last)
+        days.withColumns(parts).write.mode("overwrite").partitionBy(*parts).parquet(path)
+        assert newest_day(spark, path, tuple(parts)) == date(2024, 1, last)
+        run = (spark, path, str(tmp_path / "changes"), state, marks, counters)
+        assert run_newest_changes(*run) == date(2024, 1, last) and run_newest_changes(*run) is None
+        found = spark.read.parquet(str(tmp_path / "changes")).where(F.col("Date") == day(f"2024-01-0{last}"))
+        names = ["environment", "divisioncode", *counters]
+        assert rows(found, *names) == rows(daily_changes(days, counters), *names)
+    # Earlier days may go: the newest one is told from the state alone.
+    history.where("date = date '2024-01-07'").withColumn("date", F.lit(day("2024-01-08"))).withColumns(parts).write.mode("overwrite").partitionBy(*parts).parquet(path)
+    assert run_newest_changes(*run) == date(2024, 1, 8)
+    found = spark.read.parquet(str(tmp_path / "changes")).where("Date = date '2024-01-08'")
+    assert rows(found.selectExpr("coalesce(gltransactionscount, 0) + coalesce(vattransactions, 0) as x").distinct(), "x") == [(0,)]
+
+
+def test_newest_day_of_odd_folders(spark, tmp_path):
+    assert newest_day(spark, str(tmp_path / "none")) is None
+    for folder in ("ingestionyear=2024/ingestionmonth=02/ingestionday=9", "IngestionYear=2024/IngestionMonth=1/IngestionDay=31", "ingestionyear=2024/ingestionmonth=None/ingestionday=3", "ingestionyear=2025/other=1"):
+        (tmp_path / "t" / folder).mkdir(parents=True)
+    assert newest_day(spark, str(tmp_path / "t")) == date(2024, 2, 9)
+
+
+def test_upsert_leaves_other_buckets_alone(spark, tmp_path):
+    table = BucketedTable(spark, str(tmp_path / "t"), ["k"], 8)
+    assert table.read() is None
+    table.replace(frame(spark, "k long, v string", *[(n, "old") for n in range(100)], (None, "old")))
+    before = {f: f.stat().st_mtime_ns for f in (tmp_path / "t").rglob("*.parquet")}
+    touched = table.upsert(frame(spark, "k int, v string, w int", (5, "new", 1), (500, "new", 2), (None, "new", 3)))
+    assert 1 <= len(touched) <= 3 and table.upsert(frame(spark, "k int, v string")) == []
+    left = {f: f.stat().st_mtime_ns for f in (tmp_path / "t").rglob("*.parquet")}
+    assert {f for f in before if left.get(f) != before[f]} == {f for f in before if int(f.parent.name.split("=")[1]) in touched}
+    found = rows(table.read(), "k", "v", "w")
+    assert len(found) == 102 and [r for r in found if r[1] == "new"] == [(None, "new", 3), (5, "new", 1), (500, "new", 2)]
+
+
+def test_summary_in_buckets_equals_the_whole_upsert(spark, tmp_path):
+    summary, marks = BucketedTable(spark, str(tmp_path / "s"), ["environment", "divisioncode"], 4), Watermarks(spark, str(tmp_path / "m"))
+    old = frame(spark, "environment string, divisioncode long, gltransactionscount long", *[("NL", n, n) for n in range(30)])
+    summary.replace(old)
+    marks.store({"DivisionStatistics_Summary": date(2024, 1, 1)})
+    raw = frame(spark, RAW_STATISTICS, raw_row("1", "2024-01-02 05:00:00", "50"), raw_row("1", "2024-01-02 06:00:00", "51", environment=" nl"), raw_row("77", "2024-01-02 05:00:00", "9"))
+    touched = run_summary_buckets(raw, summary, marks, date(2024, 1, 2))
+    assert len(touched) <= 2
+    whole = summary_upsert(raw, old, date(2024, 1, 1), date(2024, 1, 2))
+    assert rows(summary.read(), "divisioncode", "gltransactionscount") == rows(whole, "divisioncode", "gltransactionscount")
+
+
+def test_log_jobs(spark, tmp_path):
+    run_lifecycle_log(frame(spark, DIVISIONS, copy("1", "2017-01-01")), str(tmp_path / "log"), date(2020, 1, 1))
+    assert rows(spark.read.parquet(str(tmp_path / "log")), "divisioncode", "yearmonthstarted") == [(1, 201501)]
+    accounts = frame(spark, "id string, accountant string, cigcopytime string", ("a", "x", "2024-01-05"))
+    run = (calendar(spark, "2024-01-01", "2024-02-10"), str(tmp_path / "owner"), date(2024, 3, 1))
+    assert run_month_end_owner(accounts, *run) and not run_month_end_owner(accounts.limit(0), *run)
+    assert spark.read.parquet(str(tmp_path / "owner")).count() == 2

@@ -78,13 +78,116 @@ BANK_LINK_COUNTERS = ("banklinkscount", "rabobanklinks", "abnamrobanklinks", "in
 # Statistics columns that were added later.
 LATER_COUNTERS = ("abnamrobanklinksbgwpsd2", "ingbanklinksbgwsftp", "knabbanklinksbgwsftp")
 
-# Statistics columns that stay text, and the one counter that ends in "date".
-STATISTICS_TEXT = (
-    "contracttype environment foreigncurrency mail2*email mailboxconnectiontype startuptype"
-    " syscreator sysmodifier taxfrequency taxsystem templatecode cigprocessed perioddatecheck"
-    " *restrictions freetextfield_* ingestion*"
+# Statistics columns that are floats.
+STATISTICS_FLOATS = (
+    "cashentryavglines bankentryavglines bankentryavglinesimport bankentryavglinesmanual"
+    " salesentryavglines purchaseentryavglines generaljournalentryavglines salesorderentryavglines"
+    " deliveryentryavglines stockentryreturnavglines purchaseorderentryavglines receiptentryavglines"
+    " receiptreturnavglines stockcountentryavglines psnaveragesubscriptioninvoiceamount"
+    " shoporderroutingstepsavglines shopordermaterialsavglines salesinvoiceavglines"
+    " salespricelistperiodavgitemcount purchaseinvoiceavglines purchasepricelistperiodavgitemcount"
+    " warehousetransferavglines locationtransferavglines smartmatchingwriteoffboundarysetting"
+    " batchesperpaymentfileavgcount paymenttransactionsperbatchavgcount"
+).split()
+
+# Statistics columns that are whole numbers.
+STATISTICS_COUNTERS = (
+    "division conversionsource templatedivision taxreturnmethod gltransactionscount vattransactions"
+    " fctransactions invoicelinescount banklinkscount bankaccountscount bankimportfilescount"
+    " bankexportfilescount rabobankaccounts rabobanklinks rabobankimportfiles rabobankexportfiles"
+    " abnamrobankaccounts abnamrobanklinks abnamrobankstatementfiles ingbankaccounts ingbanklinks"
+    " ingbankstatementfiles ingbankpaymentfiles ingbankdirectdebitfiles leadcount opportunitycount"
+    " quotecount employeecount accountcount customercount suppliercount glaccountcount assetcount"
+    " allocationrulecount documentcount itemcount journalcount cashjournalcount bankjournalcount"
+    " salesjournalcount purchasejournalcount generaljournalcount cashentrycount cashentrymaxlines"
+    " cashtransactions bankentrycount bankentrymaxlines banktransactions bankentrycountimport"
+    " bankentrymaxlinesimport banktransactionsimport bankentrycountmanual bankentrymaxlinesmanual"
+    " banktransactionsmanual salesentrycount salesentrymaxlines salestransactions purchaseentrycount"
+    " purchaseentrymaxlines purchasetransactions generaljournalentrycount generaljournalentrymaxlines"
+    " generaljournaltransactions costcentertransactions costunittransactions depreciationplancount"
+    " opportunitystagecount leadsourcecount salestypecount reasoncodecount budgetcount"
+    " paymenttermcount sourcenormal sourcebankimport sourcexmlimport sourceconversion sourceinvoice"
+    " sourcerevaluation sourcefixedentry sourcevatreturn sourceglmatching sourceexchangeratediff"
+    " fixedsalesentrycount fixedpurchaseentrycount fixedgeneraljournalentrycount"
+    " fixedsalesinvoicecount xbrldocumentsbd xbrldocumentskvk projectapproveentries projectuseproposal"
+    " projectmandatoryproject projectconsolidatenone projectconsolidateitem"
+    " projectconsolidateitemproject projectconsolidateitememployee"
+    " projectconsolidateitememployeeproject projecttypefixedprice projecttypetimeandmaterial"
+    " projecttypenonbillable projecttotalemployees projecttotaltimeentries projecttotalcostentries"
+    " projecttotalabsenceentries projecttotalleaveentries projecttotaltimecorrectionentries"
+    " projecttotalsingleplanning projecttotalrecurringplanning projecttotalnationalholiday"
+    " projectinvoiceasquoted projecttypeprepaidretainer projecttypeprepaidhtb projectwithwbs"
+    " costpricetransactioncount salesorderentrycount salesorderentrymaxlines deliveryentrycount"
+    " deliveryentrymaxlines deliverytransactions stockentryreturncount stockentryreturnmaxlines"
+    " stockentryreturntransactions purchaseorderentrycount purchaseorderentrymaxlines"
+    " receiptentrycount receiptentrymaxlines receipttransactions receiptreturncount"
+    " receiptreturnmaxlines receiptreturntransactions stockcountentrycount stockcountentrymaxlines"
+    " stockcounttransactions psnsubscriptontypeautomaticallyrenewedcount"
+    " psnsubscriptontypemanuallyrenewedcount psnsubscriptontypenotrenewedcount"
+    " psnsubscriptionautomaticallyrenewedcount psnsubscriptionmanuallyrenewedcount"
+    " psnsubscriptionnotrenewedcount psnsubscriptionyearlycount psnsubscriptionhalfyearlycount"
+    " psnsubscriptionquarterlycount psnsubscriptionmonthlycount psnsubscriptionprintedcount"
+    " psnsubscriptioninvoicecount payrollactiveemployees payrollclacount payrolldepartmentcount"
+    " payrolljobtitlecount payrolldivisiontype payrollfrequencyyearlyexists"
+    " payrollfrequencyquarterlyexists payrollfrequencymonthlyexists payrollfrequency4weeklyexists"
+    " payrollfrequencyweeklyexists sourceelectronicinvoice electronicsalesentrycount"
+    " electronicpurchaseentrycount quotationquantitiescount quotationmaterialscount"
+    " quotationroutingstepscount shoporderscount shopordermaterialscount shoporderroutingstepscount"
+    " shopordermaterialrealizationscount shoporderroutingsteprealizationscount"
+    " shopordermaterialissuescount shopordersubcontractissuescount"
+    " shoporderroutingsteptimeentriescount shoporderstockreceiptscount shoporderroutingstepsmaxlines"
+    " shopordermaterialsmaxlines shopordersuborderlevelmax budgetscenariocount costcentercount"
+    " costunitcount currencycount exchangeratecount sepabankaccountcount pageviewslastweek"
+    " pageviewslastmonth backupcount restorecount backupsinuse backupminbatch backupmaxbatch"
+    " inconsistentar inconsistentap inconsistentptmatching inconsistentglmatching"
+    " inconsistentbalanceentry inconsistentbalanceperiod inconsistentbalancedate"
+    " inconsistentreportingbalance inconsistentbatchitems inconsistentserialitems"
+    " inconsistentsalesorderstatus inconsistentpurchaseorderstatus sizekb attachmentsizekb"
+    " fulltextwordssizekb backupsizekb applicationlogsizekb gltransactionssizekb intrastatsales"
+    " intrastatpurchase mailboxprocessedemailcount mailboxprocessedemailsize"
+    " mailboxprocessedattachmentsize requestcount campaigncount marketinglistcount"
+    " campaignlinkedtomailchimpcount marketinglistlinkedtomailchimpcount accountlinkedtolinkedincount"
+    " contactlinkedtolinkedincount accountlinkedtotwittercount contactlinkedtotwittercount"
+    " accountlinkedtoadministrationcount accountlinkedtomultipleadministrationscount indicatorscount"
+    " starterusersaccesstocompanycount documentfolderscount documentswithfoldercount"
+    " purchasesendercount salessendercount crmsendercount salesinvoicecount salesinvoicemaxlines"
+    " dropshipsalesordercount dropshipsuppliersalesordercount salespricelistcount"
+    " salespricelistperiodcount salespricelistperiodmaxitemcount purchaseinvoicecount"
+    " purchaseinvoicemaxlines purchasepricelistcount purchasepricelistperiodcount"
+    " purchasepricelistperiodmaxitemcount batchitemcount serialitemcount assemblyordercount"
+    " warehousetransfercount warehousetransfermaxlines locationtransfercount locationtransfermaxlines"
+    " useallownegativestock usesalesorderapproval usetranssmart usemandatoryserialnumber"
+    " usereceivemorethanordered userswithchangedcompanyrightscount customerswithinvolveduserscount"
+    " userssetasinvolvedcount itemlowestlevelmax employeeswithemployeeratecount hrmapproveleave"
+    " hrmapproveleavebuildup projectblockhistoricalentry projectdefaultalertwhenexceeding"
+    " projectinvoiceproposalreasons projectnotesmandatory projectrequiresprojectwbs projectsendemails"
+    " automatedbankimportsetting glaccountclassificationlinksrgs1 glaccountclassificationlinksrgs3"
+    " glaccountsuggestionsdirectentrysetting projecttotalleavebuildupentries ctibingbankcount"
+    " ctibothersbankcount ctibmatchescount ctibdisabledcount batchesperpaymentfilemaxcount"
+    " purchaseentrycountforlast90days electronicpurchaseentrycountforlast90days"
+    " clientactivitymonthlyexists inactiveaccountcount anonymizedaccountcount contactcount"
+    " anonymizedcontactcount inactiveemployeecount anonymizedemployeecount usercount inactiveusercount"
+    " anonymizedusercount scanningserviceautomaticbooking purchaseentryapprovalenabled"
+    " purchaseentryapproverscount invoiceproposals projectsalesinvoices"
+    " mail2eolpurchaseemailallowedsenderscount mail2eolsalesallowedsenderscount"
+    " mail2eoldocumentsallowedsenderscount abnamrobanklinksbgwpsd2 knabbanklinksbgwsftp"
+    " ingbanklinksbgwsftp knabbankaccounts knabbanktransactionfeeds"
+).split()
+
+# Statistics columns that are moments.
+STATISTICS_MOMENTS = (
+    "openingbalancefirstdate lastlogin salesorderlastcreationdate purchaseorderlastcreationdate"
+    " shoporderlastcreationdate lastbackup lastrestore salesinvoicefirstdate consultancydate"
+    " scanningservicelastusage lastcollected lastcopied sysmodified syscreated cigcopytime"
+    " lastcollectedinconsistencies mail2eolpurchaseemaillastusage mail2eolsalesemaillastusage"
+    " mail2eoldocumentsemaillastusage"
+).split()
+
+# Whole-number statistics that the summary has and the daily table doesn't type.
+STATISTICS_ADDED = (
+    "abnamrobanklinksbgwpsd2 knabbanklinksbgwsftp ingbanklinksbgwsftp knabbankaccounts"
+    " knabbanktransactionfeeds"
 ).split()
-STATISTICS_COUNTER_ENDING_IN_DATE = "inconsistentbalancedate"
 
 # Statistics columns without a place in the daily table.
 DAILY_DROPPED = (

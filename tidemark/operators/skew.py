@@ -83,11 +83,11 @@ def salted_join(
 ) -> DataFrame:
     """Join whose hot left keys are spread over several tasks.
 
-    Meant for a large left side and a right side with few rows per key. The
-    salt is a hash of the left row, so a repeated task gives the same rows (and rows
-    alike in every column stay together); right rows of a hot key are repeated once per
-    salt. The keys are counted in ``sizes`` if given: a stored table with the same hot
-    keys is cheaper to count than a derived left side.
+    Meant for a large left side and a right side with few rows per key. Left rows of a hot key
+    are dealt one after the other by their place in their partition and stored with it, so rows that are alike
+    spread as well and a repeated task finds the same ones; right rows of a hot key are repeated once per
+    salt. Other rows are joined the plain way. The keys are counted in ``sizes`` if given: a stored
+    table with the same hot keys is cheaper to count than a derived left side.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         # Right rows are repeated per salt, so unmatched ones would surface more than once.
@@ -95,19 +95,13 @@ def salted_join(
     hot = hot_keys(left if sizes is None else sizes, keys, task_rows)
     if not hot:
         return left.join(right, list(keys), how)
-    salts = hot.pieces_per_key
-
-    def marked(df: DataFrame) -> DataFrame:
-        flagged = hot.frame.withColumn(SALT, F.lit(True))
-        joined = df.join(flagged, same_keys(df, flagged, keys, HOT), "left")
-        return joined.drop(*[HOT + k for k in keys])
-
-    salted_left = marked(left).withColumn(
-        SALT, F.when(F.col(SALT), F.pmod(F.xxhash64(*left.columns), F.lit(salts))).otherwise(0)
-    )
-    every_salt = F.transform(F.sequence(F.lit(0), F.lit(salts - 1)), lambda s: s.cast("bigint"))
-    one_salt = F.array(F.lit(0).cast("bigint"))
-    salted_right = marked(right).withColumn(
-        SALT, F.explode(F.when(F.col(SALT), every_salt).otherwise(one_salt))
-    )
-    return salted_left.join(salted_right, [*keys, SALT], how).drop(SALT)
+    salts = F.lit(hot.pieces_per_key)
+    dealt = hot.only(left).withColumn(SALT, F.pmod(F.monotonically_increasing_id(), salts))
+    path = f"{checkpoint_folder(left.sparkSession)}/salted-{uuid.uuid4().hex}"
+    dealt.write.parquet(path)
+    salted_left = left.sparkSession.read.schema(dealt.schema).parquet(path)
+    every_salt = F.sequence(F.lit(0).cast("bigint"), (salts - 1).cast("bigint"))
+    salted_right = hot.only(right).withColumn(SALT, F.explode(every_salt))
+    spread = salted_left.join(salted_right, [*keys, SALT], how).drop(SALT)
+    plain = hot.without(left).join(right, list(keys), how)
+    return plain.unionByName(spread)

@@ -11,7 +11,7 @@ from datetime import date, datetime
 from functools import reduce
 from operator import add, or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.fixed_values import (
@@ -30,12 +30,14 @@ from tidemark.fixed_values import (
     SUMMED_EVENTS,
 )
 from tidemark.functions.columns import cast_columns
-from tidemark.functions.expressions import ntz, zero_if_null
+from tidemark.functions.expressions import ntz, same_keys, zero_if_null
 from tidemark.operators.latest import latest_record
-from tidemark.operators.skew import salted_join
-from tidemark.sources.tables import union_by_name
+from tidemark.sources.buckets import BucketedTable
+from tidemark.sources.tables import days_between, union_by_name
 
 DIVISION = ["environment", "divisioncode"]
+DAY = ("Year", "Month", "Day")
+FIRSTS_ITEM = "KeyEvents_Firsts"
 EVENT_KEY = ["accountid", "environment", "key_event", "divisioncode"]
 STORE_COLUMNS = [
     "accountid",
@@ -111,6 +113,28 @@ def first_times(
     return firsts.select(*keys, F.inline(pairs)).where(F.col("first_time").isNotNull())
 
 
+def advance_firsts(firsts: BucketedTable, pending: DataFrame, moment: str, conditions: Mapping[str, Column]) -> None:
+    """Bring the stored first moments up to date with rows that came since.
+
+    The state has one row per division and event. Only divisions with something earlier than
+    known are written.
+    """
+    new = first_times(pending, DIVISION, moment, conditions)
+    known = firsts.read()
+    if known is not None:
+        keys = [*DIVISION, "key_event"]
+        old = known.select(*[F.col(c).alias(f"_old_{c}") for c in (*keys, "first_time")])
+        joined = new.join(old, same_keys(new, old, keys, "_old_"), "left")
+        earlier = F.col("_old_first_time").isNull() | (F.col("first_time") < F.col("_old_first_time"))
+        new = joined.where(earlier).select(new.columns)
+    firsts.upsert(new)
+
+
+def firsts_table(spark: SparkSession, root: str, buckets: int = 64) -> BucketedTable:
+    """The stored first moments of divisions."""
+    return BucketedTable(spark, root, [*DIVISION, "key_event"], buckets)
+
+
 def within(firsts: DataFrame, bounds: Bounds, events: Sequence[str]) -> DataFrame:
     """Keep the firsts that lie in the window of their event."""
     name, moment = F.col("key_event"), F.col("first_time")
@@ -135,34 +159,45 @@ def _store_rows(events: DataFrame, today: date) -> DataFrame:
 
 
 def division_events(
-    statistics: DataFrame,
-    conditions: Mapping[str, Column],
-    moment: str,
+    firsts: DataFrame,
+    events: Sequence[str],
     divisions: DataFrame,
     contracts: DataFrame,
     bounds: Bounds,
     today: date,
 ) -> DataFrame:
-    """Events of divisions, handed to the contract accounts that own them.
+    """First moments of divisions as events of the contract accounts that own them.
 
-    The statistics shrink to one row per division before any join.
+    ``firsts`` has one row per division and event; an account with very many divisions is split by
+    Spark's handling of skewed joins.
     """
-    firsts = within(
-        first_times(statistics, DIVISION, moment, conditions), bounds, list(conditions)
-    )
-    owned = firsts.join(divisions.select(*DIVISION, "accountid"), DIVISION).select(
+    owned = within(firsts, bounds, events).join(divisions.select(*DIVISION, "accountid"), DIVISION).select(
         "accountid", "divisioncode", "key_event", F.col("first_time").alias("key_event_timestamp")
     )
     owners = contracts.select("accountid", "environment").distinct()
-    return _store_rows(salted_join(owned, owners, ["accountid"], sizes=divisions), today)
+    return _store_rows(owned.join(owners, "accountid"), today)
+
+
+def counter_conditions() -> dict[str, Column]:
+    """When a daily row counts for an event."""
+    return {event: _counter_condition(event, counters) for event, counters in COUNTER_EVENTS.items()}
 
 
 def counter_events(
-    daily: DataFrame, divisions: DataFrame, contracts: DataFrame, bounds: Bounds, today: date
+    daily: DataFrame,
+    divisions: DataFrame,
+    contracts: DataFrame,
+    bounds: Bounds,
+    today: date,
+    firsts: DataFrame | None = None,
 ) -> DataFrame:
-    """All events taken from positive daily counters, in one scan."""
-    conditions = {e: _counter_condition(e, counters) for e, counters in COUNTER_EVENTS.items()}
-    return division_events(daily, conditions, "date", divisions, contracts, bounds, today)
+    """All events taken from positive daily counters: in one scan, or from stored first moments.
+
+    The statistics shrink to one row per division before any join.
+    """
+    if firsts is None:
+        firsts = first_times(daily, DIVISION, "date", counter_conditions())
+    return division_events(firsts, COUNTER_EVENT_NAMES, divisions, contracts, bounds, today)
 
 
 def sales_invoice_events(
@@ -170,9 +205,8 @@ def sales_invoice_events(
 ) -> DataFrame:
     """First sales invoice, as the summary table states it."""
     stated = {FIRST_SALES_INVOICE: F.col("salesinvoicefirstdate").isNotNull()}
-    return division_events(
-        summary, stated, "salesinvoicefirstdate", divisions, contracts, bounds, today
-    )
+    firsts = first_times(summary, DIVISION, "salesinvoicefirstdate", stated)
+    return division_events(firsts, [FIRST_SALES_INVOICE], divisions, contracts, bounds, today)
 
 
 def consult_events(
@@ -319,13 +353,18 @@ class EventSources:
     accountant_links: DataFrame
 
 
-def key_events(sources: EventSources, bounds: Bounds, today: date) -> DataFrame:
-    """All new key events."""
+def key_events(
+    sources: EventSources, bounds: Bounds, today: date, firsts: DataFrame | None = None
+) -> DataFrame:
+    """All new key events.
+
+    With ``firsts``, the stored first moments that ``advance_firsts`` keeps, the daily table isn't read.
+    """
     s = sources
     contracts = contract_accounts(s.contract_summary, s.accounts)
     return union_by_name(
         [
-            counter_events(s.daily, s.divisions, contracts, bounds, today),
+            counter_events(s.daily, s.divisions, contracts, bounds, today, firsts),
             sales_invoice_events(s.summary, s.divisions, contracts, bounds, today),
             consult_events(s.time_entries, s.items, s.accounts, contracts, bounds, today),
             consult_request_events(s.consult_requests, contracts, today),
@@ -336,11 +375,19 @@ def key_events(sources: EventSources, bounds: Bounds, today: date) -> DataFrame:
     )
 
 
-def update_store(store, watermarks, sources: EventSources, until: datetime, today: date) -> None:
+def update_store(
+    store, watermarks, sources: EventSources, until: datetime, today: date, firsts: BucketedTable | None = None
+) -> None:
     """Find, merge and publish new events, then advance the watermarks.
 
-    ``store`` is the versioned table of events, ``watermarks`` the watermark table.
+    ``store`` is the versioned table of events, ``watermarks`` the watermark table. With ``firsts`` only
+    the days of the daily table since the last run are read: its day columns are ``DAY``.
     """
     bounds = Bounds(until, watermarks.get_all(list(ALL_EVENTS)))
-    store.publish(merge_events(store.read(), key_events(sources, bounds, today)))
-    watermarks.store(event_watermarks(store.read()))
+    known = None
+    if firsts is not None:
+        pending = days_between(sources.daily, watermarks.get(FIRSTS_ITEM), until.date(), DAY)
+        advance_firsts(firsts, pending, "date", counter_conditions())
+        known = firsts.read()
+    store.publish(merge_events(store.read(), key_events(sources, bounds, today, known)))
+    watermarks.store({**event_watermarks(store.read()), **({FIRSTS_ITEM: until.date()} if firsts is not None else {})})

@@ -17,8 +17,7 @@ from tidemark.fixed_values import (
 )
 from tidemark.functions.columns import cast_columns, upper_trim
 from tidemark.functions.expressions import ntz, year_month
-from tidemark.operators.ordered import with_neighbours
-from tidemark.operators.skew import TASK_ROWS
+from tidemark.operators.ordered import PIECE_ROWS, with_neighbours
 
 EVENTS = ("archived", "blocked", "blockedanddeleted", "deleted", "ended", "startdate")
 BLOCKED = 101
@@ -34,7 +33,7 @@ def first_match(*arms: tuple[Column, Column]) -> Column:
     return value
 
 
-def _with_history(raw: DataFrame, tie_breakers: Sequence[str], task_rows: int) -> DataFrame:
+def _with_history(raw: DataFrame, tie_breakers: Sequence[str], piece_rows: int) -> DataFrame:
     typed = cast_columns(
         raw,
         {
@@ -60,7 +59,7 @@ def _with_history(raw: DataFrame, tie_breakers: Sequence[str], task_rows: int) -
             "deleted_after": ("deleted", time),
             "end_after": ("enddate", time),
         },
-        task_rows=task_rows,
+        piece_rows=piece_rows,
     )
 
 
@@ -90,14 +89,14 @@ def classified_changes(
     raw: DataFrame,
     today: date,
     tie_breakers: Sequence[str] = (),
-    task_rows: int = TASK_ROWS,
+    piece_rows: int = PIECE_ROWS,
 ) -> DataFrame:
     """Changes in the history of each division with their event and its date.
 
     The event and its date follow separate rules; arms that an earlier arm
     always catches are left out.
     """
-    rows = _with_history(raw, tie_breakers, task_rows).where(_is_change())
+    rows = _with_history(raw, tie_breakers, piece_rows).where(_is_change())
 
     position = F.col("position")
     copied = F.to_date("cigcopytime")
@@ -154,10 +153,10 @@ def lifecycle_log(
     raw: DataFrame,
     today: date,
     tie_breakers: Sequence[str] = (),
-    task_rows: int = TASK_ROWS,
+    piece_rows: int = PIECE_ROWS,
 ) -> DataFrame:
     """One row per division with the first date of each event and its year-month."""
-    changes = classified_changes(raw, today, tie_breakers, task_rows)
+    changes = classified_changes(raw, today, tie_breakers, piece_rows)
     pivoted = (
         changes.groupBy("code", "environment")
         .pivot("event", list(EVENTS))

@@ -1,4 +1,4 @@
-"""Month-end log of a slowly changing owner."""
+"""Log of a slowly changing owner at the ends of calendar periods."""
 
 from __future__ import annotations
 
@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import cast_columns
+from tidemark.operators.intervals import interval_join
 
 
 def month_end_owner(
@@ -16,14 +17,15 @@ def month_end_owner(
     calendar: DataFrame,
     today: date,
     tie_breakers: Sequence[str] = (),
+    *,
+    period: str = "yearmonth",
 ) -> DataFrame:
-    """The owner of each account at every month end of the calendar.
+    """The owner of each account at the last day of every period of the calendar.
 
     An owner holds from the end of the month of the copy to the day before the
     next change, the newest one to yesterday. The history is reduced to the last
     owner of each month before it is ordered, so an account never has more rows
-    than there are months, and each interval is matched to the month ends by
-    equality on the month instead of a range join.
+    than there are months. The calendar may have periods of any length: months, weeks, or days.
     """
     history = cast_columns(
         accounts.select("id", "accountant", "cigcopytime", *tie_breakers),
@@ -36,29 +38,11 @@ def month_end_owner(
     )
     in_order = Window.partitionBy("id").orderBy("start")
     held = per_month.select(
-        "id",
-        F.col("owner.accountant").alias("accountant"),
+        F.col("id").alias("accountid"),
+        F.col("owner.accountant").alias("accountantid"),
         "start",
         F.date_add(F.coalesce(F.lead("start", 1).over(in_order), F.lit(today)), -1).alias("end"),
-    ).where(F.col("start") <= F.col("end"))
-    months = held.withColumn(
-        "month",
-        F.explode(F.sequence(F.trunc("start", "month"), F.trunc("end", "month"), F.expr("interval 1 month"))),
-    )
-    month_ends = (
-        cast_columns(
-            calendar.select("calendardate", "yearmonth"),
-            {"integer": ["yearmonth"], "date": ["calendardate"]},
-        )
-        .groupBy("yearmonth")
-        .agg(F.max("calendardate").alias("date"))
-        .select(F.trunc("date", "month").alias("month"), "date")
-    )
-    # One row per calendar month: 1,200 for a century.
-    return (
-        months.join(F.broadcast(month_ends), "month")
-        .where(F.col("date").between(F.col("start"), F.col("end")))
-        .select(
-            F.col("id").alias("accountid"), "date", F.col("accountant").alias("accountantid")
-        )
     )
+    days = cast_columns(calendar.select("calendardate", period), {"date": ["calendardate"]})
+    ends = days.groupBy(period).agg(F.max("calendardate").alias("date")).select("date")
+    return interval_join(held, ends, "start", "end", "date").select("accountid", "date", "accountantid")

@@ -8,9 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, fields
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.fixed_values import (
     ACCESS_ACTIVITY,
@@ -31,11 +34,10 @@ from tidemark.fixed_values import (
     TEMPORARY,
     TRANSFER,
 )
-from tidemark.functions.columns import trim_text
+from tidemark.functions.columns import cast_value, trim_text
 from tidemark.functions.expressions import not_among, ntz, number_before_colon
 from tidemark.operators.latest import latest_record
-from tidemark.operators.ordered import running_total
-from tidemark.operators.skew import TASK_ROWS
+from tidemark.operators.ordered import PIECE_ROWS, running_total
 
 DIVISION = ["environment", "divisioncode"]
 SETUP_COLUMNS = [
@@ -55,6 +57,11 @@ SETUP_COLUMNS = [
 ]
 
 
+def whole_number(name: str, df: DataFrame) -> Column:
+    """A code as a whole number; text with a fraction is cut."""
+    return cast_value(F.col(name), "int", isinstance(df.schema[name].dataType, T.StringType))
+
+
 def current_type() -> Column:
     return F.col("masterdatasetuptype")
 
@@ -94,7 +101,7 @@ def add_divisions(
             "accountcode",
             F.col("startuptype").alias("divisionstartuptypecode"),
             "divisioncreated",
-            F.col("templatedivision").try_cast("int").alias("templatedivisioncode"),
+            whole_number("templatedivision", statistics).alias("templatedivisioncode"),
             "accountid",
         )
     )
@@ -143,6 +150,55 @@ def with_activity_facts(setup: DataFrame, activity: DataFrame) -> DataFrame:
 
 
 FACT_COLUMNS = ("first_access", "import_start", "import_success")
+SAVE_COLUMNS = ("firstsave", "fifthsave")
+
+
+def with_all_activity(setup: DataFrame, activity: DataFrame, threshold: int = SAVES_STARTED) -> DataFrame:
+    """What ``with_activity_facts`` and ``with_save_moments`` add, from one pass over the activity.
+
+    The activity shrinks to one row per account, division and day inside the map tasks. A division
+    has at most as many of them as there are days, so its quantity is added up over time by a plain
+    window; then the days meet the rows of their division, and one aggregation reads off
+    the access, the imports and the saves.
+    """
+    kind = F.col("activityid")
+    days = activity.groupBy("environment", "accountid", "accountcode", "divisioncode", "date").agg(
+        F.sum("quantity").alias("reached"),
+        F.max(kind == SAVE_ACTIVITY).alias("saved"),
+        F.max(kind == ACCESS_ACTIVITY).alias("accessed"),
+        F.max(kind.isin(*IMPORT_ACTIVITIES)).alias("imported"),
+        F.max(kind.isin(*IMPORT_SUCCESS_ACTIVITIES)).alias("import_succeeded"),
+    )
+    upto = (
+        Window.partitionBy("divisioncode", "accountcode")
+        .orderBy("date")
+        .rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    totals = days.withColumn("reached", F.sum("reached").over(upto))
+    own = ["environment", "accountid", "accountcode"]
+    found = totals.select("divisioncode", *[F.col(c).alias(f"_{c}") for c in own], *totals.columns[4:])
+    known = setup.select(*DIVISION, "accountid", "accountcode", "divisioncreated").distinct()
+    date = F.col("date")
+    owned = (F.col("_accountid") == F.col("accountid")) & (date >= F.col("divisioncreated"))
+    coded = (F.col("_environment") == F.col("environment")) & (F.col("_accountcode") == F.col("accountcode"))
+    save = coded & F.col("saved") & F.col("reached").isNotNull()
+    facts = (
+        found.join(known, "divisioncode")
+        .where(owned | save)
+        .groupBy(*DIVISION, "accountid", "accountcode")
+        .agg(
+            F.min(F.when(owned & F.col("accessed"), date)).alias("first_access"),
+            F.min(F.when(owned & F.col("imported"), date)).alias("import_start"),
+            F.max(F.when(owned & F.col("import_succeeded"), date)).alias("import_success"),
+            F.min(F.when(save, date)).alias("firstsave"),
+            F.min(F.when(save & (F.col("reached") > threshold), date)).alias("fifthsave"),
+        )
+    )
+    names = {c: f"_{c}" for c in (*DIVISION, "accountid", "accountcode")}
+    renamed = facts.withColumnsRenamed(names)
+    same = [setup[c] == renamed[f"_{c}"] for c in DIVISION]
+    same += [setup[c].eqNullSafe(renamed[f"_{c}"]) for c in ("accountid", "accountcode")]
+    return setup.join(renamed, reduce(and_, same), "left").drop(*names.values())
 
 
 def first_accessed(setup: DataFrame) -> DataFrame:
@@ -157,8 +213,8 @@ def temporary_divisions(
     """Divisions whose latest raw copy is blocked."""
     rows = raw_divisions.withColumns(
         {
-            "divisioncode": F.col("code").try_cast("int"),
-            "blocking": F.col("blockingstatus").try_cast("int"),
+            "divisioncode": whole_number("code", raw_divisions),
+            "blocking": whole_number("blockingstatus", raw_divisions),
             "copied": F.col("cigcopytime").try_cast("timestamp_ntz"),
         }
     )
@@ -183,7 +239,7 @@ def conversions(setup: DataFrame, conversion: DataFrame, divisions: DataFrame) -
     Several conversions of one target count by the one changed last; one without a
     creation time counts for nothing.
     """
-    links = divisions.select(*DIVISION, F.col("linkeddivision").try_cast("int").alias("target"))
+    links = divisions.select(*DIVISION, whole_number("linkeddivision", divisions).alias("target"))
     targets = conversion.join(links, DIVISION).select(
         "environment",
         F.col("target").alias("divisioncode"),
@@ -291,7 +347,7 @@ def save_moments(
     activity: DataFrame,
     threshold: int = SAVES_STARTED,
     save_activity: str = SAVE_ACTIVITY,
-    task_rows: int = TASK_ROWS,
+    piece_rows: int = PIECE_ROWS,
 ) -> DataFrame:
     """When each account first saved in a division, and first beyond the threshold.
 
@@ -307,7 +363,7 @@ def save_moments(
         "reached",
         detail=["environment"],
         also={"saved": F.max(F.col("activityid") == save_activity)},
-        task_rows=task_rows,
+        piece_rows=piece_rows,
     )
     reached = totals.where(F.col("saved") & F.col("reached").isNotNull())
     return reached.groupBy("environment", *keys).agg(
@@ -320,9 +376,6 @@ def with_save_moments(setup: DataFrame, moments: DataFrame) -> DataFrame:
     return setup.join(moments, ["environment", "accountcode", "divisioncode"], "left")
 
 
-SAVE_COLUMNS = ("firstsave", "fifthsave")
-
-
 def _by_saves(many: str, some: str, none: str) -> Column:
     return (
         F.when(F.col("fifthsave").isNotNull(), many)
@@ -373,14 +426,13 @@ def master_data_setup(
     setup = trim_text(setup, ["environment"])
     setup = add_divisions(setup, s.divisions, s.statistics, s.contracts)
     setup = refresh_owner(setup, s.divisions)
-    setup = with_activity_facts(setup, s.activity)
+    setup = with_all_activity(setup, s.activity)
     setup = first_accessed(setup)
     setup = temporary_divisions(setup, s.raw_divisions, tie_breakers)
     setup = by_startup_type(setup, "Y", DEMO)
     setup = conversions(setup, s.conversion, s.divisions)
     setup = transfers(setup, s.transfer_requests, s.transfer_executions)
     setup = imports(setup)
-    setup = with_save_moments(setup, save_moments(s.activity))
     setup = template_divisions(setup)
     setup = by_startup_type(setup, "A", ACCOUNTANT_TEMPLATE)
     setup = by_startup_type(setup, "D", COPY)

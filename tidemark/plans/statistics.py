@@ -13,14 +13,15 @@ from tidemark.fixed_values import (
     CHANGE_COUNTERS,
     DAILY_DROPPED,
     LATER_COUNTERS,
-    STATISTICS_COUNTER_ENDING_IN_DATE,
-    STATISTICS_TEXT,
+    STATISTICS_ADDED,
+    STATISTICS_COUNTERS,
+    STATISTICS_FLOATS,
+    STATISTICS_MOMENTS,
 )
 from tidemark.functions.columns import (
     add_missing_columns,
     cast_columns,
     drop_columns,
-    matching,
     upper_trim,
 )
 from tidemark.functions.expressions import any_flag, same_keys, zero_if_null
@@ -29,32 +30,18 @@ from tidemark.sources.tables import INGESTION_DAY, days_between, on_day
 
 DIVISION = ("environment", "divisioncode")
 
-# Kinds of counters by their names. A column of no kind here, or among the floats and
-# moments below, keeps its type.
-COUNTERS = (
-    "*count", "*countimport", "*countmanual", "*countforlast90days", "*maxlines", "*maxlinesimport",
-    "*maxlinesmanual", "*transactions", "*transactionsimport", "*transactionsmanual", "*transactionfeeds",
-    "*accounts", "*links", "*linksbgw*", "*files", "*exists", "*setting", "*sizekb", "*levelmax", "*proposals",
-    "backup*batch", "backupsinuse", "glaccountclassificationlinks*", "hrmapprove*", "inconsistent*",
-    "intrastat*", "mailboxprocessed*", "pageviewslast*", "payroll*", "project*", "source*", "xbrldocuments*",
-    "automaticbanklink", "conversionsource", "division", "divisioncode", "purchaseentryapprovalenabled",
-    "scanningserviceautomaticbooking", "taxreturnmethod", "templatedivision", "useallownegativestock",
-    "usemandatoryserialnumber", "usereceivemorethanordered", "usesalesorderapproval", "usetranssmart",
-)
-
+DERIVED_COUNTERS = ("divisioncode", "automaticbanklink")
 
-def statistics_types(columns: Sequence[str], text: Sequence[str] = STATISTICS_TEXT) -> dict:
-    """Column types by name: averages are floats, moments timestamps, ``COUNTERS`` whole numbers.
 
-    Other columns, and those named in ``text``, are left as they are.
-    """
-    kept = set(matching(columns, text))
-    typed = [name for name in columns if name not in kept]
-    floats = matching(typed, ["*avg*", "*average*", "*boundarysetting"])
-    times = matching(typed, ["*date", "*lastusage", "last*", "syscreated", "sysmodified", "cigcopytime"])
-    times = [n for n in times if n.lower() != STATISTICS_COUNTER_ENDING_IN_DATE]
-    counters = [n for n in matching(typed, COUNTERS) if n not in floats and n not in times]
-    return {"float": floats, "timestamp": times, "long": counters}
+def statistics_types(columns: Sequence[str], untyped: Sequence[str] = ()) -> dict[str, list[str]]:
+    """The listed columns among these by type; all others, and the ``untyped`` ones, stay as they are."""
+    present = {name.lower(): name for name in columns}
+    listed = {
+        "float": STATISTICS_FLOATS,
+        "timestamp": STATISTICS_MOMENTS,
+        "long": (*STATISTICS_COUNTERS, *DERIVED_COUNTERS),
+    }
+    return {kind: [present[n] for n in names if n in present and n not in untyped] for kind, names in listed.items()}
 
 
 def with_bank_link(df: DataFrame) -> DataFrame:
@@ -70,7 +57,7 @@ def daily_statistics(
     newest = latest_record(day, ["environment", "division"], ["cigcopytime desc", *tie_breakers])
     flagged = with_bank_link(newest.withColumnRenamed("division", "divisioncode"))
     kept = drop_columns(flagged, DAILY_DROPPED)
-    typed = cast_columns(kept, statistics_types(kept.columns))
+    typed = cast_columns(kept, statistics_types(kept.columns, STATISTICS_ADDED))
     return typed.withColumn("date", F.lit(snapshot_date))
 
 
@@ -146,19 +133,34 @@ def daily_changes(
     return picked.select("environment", F.col("divisioncode").try_cast("bigint").alias("divisioncode"), "date", *changes)
 
 
-def summary_upsert(
-    raw: DataFrame,
-    summary: DataFrame,
-    after: date | None = None,
-    until: date | None = None,
-    tie_breakers: Sequence[str] = (),
+def changes_since(
+    newest: DataFrame, last: DataFrame, counters: Sequence[str] = CHANGE_COUNTERS
 ) -> DataFrame:
-    """The summary with the newest raw row per division put in place of the old one.
+    """The same from the rows of the newest day and the last earlier row of each key.
+
+    ``last`` is the state that ``last_rows`` gives, so no other day is read.
+    """
+    rows = upper_trim(newest.select(*DIVISION, "date", *counters), ["environment"]).dropDuplicates(list(DIVISION))
+    older = last.select(*[F.col(c).alias(f"_old_{c}") for c in (*DIVISION, *counters)])
+    joined = rows.join(older, same_keys(rows, older, DIVISION, "_old_"), "left")
+    changes = [(zero_if_null(c) - zero_if_null(f"_old_{c}")).cast("bigint").alias(c) for c in counters]
+    return joined.select("environment", F.col("divisioncode").try_cast("bigint").alias("divisioncode"), "date", *changes)
+
+
+def last_rows(daily: DataFrame, counters: Sequence[str] = CHANGE_COUNTERS) -> DataFrame:
+    """The last row of each key: the state from which the changes of a later day are told."""
+    rows = upper_trim(daily.select(*DIVISION, "date", *counters), ["environment"])
+    return latest_record(rows, DIVISION, ["date desc"])
+
+
+def summary_news(
+    raw: DataFrame, after: date | None = None, until: date | None = None, tie_breakers: Sequence[str] = ()
+) -> DataFrame:
+    """The newest raw row of every division with news, typed: what an upsert puts into the summary.
 
     With ``until`` the raw table is cut to the ingestion days after the last
     update first, and all of them are handled in one pass: a later ingestion day
-    beats an earlier one, then the later copy time decides. The summary holds one row per
-    division; rows without news pass unchanged, without a ranking.
+    beats an earlier one, then the later copy time decides.
     """
     order = ["cigcopytime desc", *tie_breakers]
     if until is not None:
@@ -170,8 +172,24 @@ def summary_upsert(
     newest = latest_record(raw, ["environment", "division"], order)
     newest = drop_columns(newest, [name for name in DAILY_DROPPED if name.startswith("free")])
     newest = cast_columns(newest, statistics_types(newest.columns))
-    newest = with_bank_link(newest.withColumnRenamed("division", "divisioncode"))
-    changed = raw.select(F.col("environment").alias("_new_environment"), F.col("division").alias("_new_divisioncode"))
-    changed = changed.distinct()
-    old = summary.join(changed, same_keys(summary, changed, DIVISION, "_new_"), "left_anti")
+    return with_bank_link(newest.withColumnRenamed("division", "divisioncode"))
+
+
+def summary_upsert(
+    raw: DataFrame,
+    summary: DataFrame,
+    after: date | None = None,
+    until: date | None = None,
+    tie_breakers: Sequence[str] = (),
+) -> DataFrame:
+    """The summary with the newest raw row per division put in place of the old one.
+
+    The summary holds one row per division; rows without news pass unchanged, without a ranking. A
+    summary stored in buckets takes ``summary_news`` and leaves the other buckets alone.
+    """
+    newest = summary_news(raw, after, until, tie_breakers)
+    pending = raw if until is None else days_between(raw, after, until)
+    pending = cast_columns(upper_trim(pending, ["environment"]), {"long": ["division"]})
+    changed = pending.select(F.col("environment").alias("_new_environment"), F.col("division").alias("_new_divisioncode"))
+    old = summary.join(changed.distinct(), same_keys(summary, changed, DIVISION, "_new_"), "left_anti")
     return old.unionByName(newest, allowMissingColumns=True)
