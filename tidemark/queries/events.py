@@ -86,19 +86,15 @@ def newest_from_template(spark, sf_dir):
     return legislation_events(divisions, summary, BOUNDS, TODAY)
 
 
+EVENT_VIEWS = (
+    "d_daily d_summary d_divisions d_accounts d_contract_summary d_time_entries d_items"
+    " d_consult_requests d_activity d_links"
+).split()
+
+
 def all_events(spark, sf_dir):
-    names = (
-        "d_daily d_summary d_divisions d_accounts d_contract_summary d_time_entries d_items"
-        " d_consult_requests d_activity d_links"
-    ).split()
-    sources = EventSources(*[view(spark, sf_dir, name) for name in names])
-    found = key_events(sources, BOUNDS, TODAY)
-    return found.groupBy("key_event").agg(
-        F.count(F.lit(1)).alias("events"),
-        F.countDistinct("accountid").alias("accounts"),
-        F.min(F.col("key_event_timestamp").cast("date")).alias("first_day"),
-        F.max(F.col("key_event_timestamp").cast("date")).alias("last_day"),
-    )
+    sources = EventSources(*[view(spark, sf_dir, name) for name in EVENT_VIEWS])
+    return key_events(sources, BOUNDS, TODAY)
 
 
 def _first_of_type(spark, sf_dir, until_day: bool):
@@ -297,10 +293,6 @@ ORACLES = {
     "salted_join": """select o_custkey, o_orderkey, o_totalprice, c_mktsegment
         from orders join customer on o_custkey = c_custkey""",
 }
-_ALL_VIEWS = (
-    "d_daily d_summary d_divisions d_accounts d_contract_summary d_time_entries d_items"
-    " d_consult_requests d_activity d_links"
-).split()
 _EVERY = [
     *(_counter_sql(event) for event in COUNTER_EVENTS),
     _INVOICES,
@@ -310,11 +302,7 @@ _EVERY = [
     _LINKED,
     _newest_sql(", d.divisioncode desc"),
 ]
-ORACLES["key_events_all"] = oracle(
-    tuple(_ALL_VIEWS),
-    _CTE_A
-    + " select key_event, count(*) as events, count(distinct accountid) as accounts,"
-    + " min(cast(key_event_timestamp as date)) as first_day, max(cast(key_event_timestamp as date)) as last_day from ("
-    + " union all ".join(f"select * from ({part})" for part in _EVERY)
-    + ") e group by key_event",
+EVERY_EVENT = oracle(
+    tuple(EVENT_VIEWS), _CTE_A + " " + " union all ".join(f"select * from ({part})" for part in _EVERY)
 )
+ORACLES["key_events_all"] = EVERY_EVENT

@@ -86,9 +86,14 @@ SOURCE_VIEWS = (
 )
 
 
+def setup_sources(spark, sf_dir):
+    """The setup table and the tables that its rules look at."""
+    return _setup(spark, sf_dir), SetupSources(*[view(spark, sf_dir, name) for name in SOURCE_VIEWS])
+
+
 def cascade(spark, sf_dir):
-    sources = SetupSources(*[view(spark, sf_dir, name) for name in SOURCE_VIEWS])
-    return master_data_setup(_setup(spark, sf_dir), sources, TIES)
+    setup, sources = setup_sources(spark, sf_dir)
+    return master_data_setup(setup, sources, TIES)
 
 
 STARTUP_RULES = {"Y": "Demo", "A": "AccountantTemplate", "D": "DivisionCopy"}
