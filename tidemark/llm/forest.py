@@ -1,18 +1,17 @@
-"""Nearest neighbours by a forest of random-projection trees and exact reranking.
-
-Trees are fitted on a bounded sample and index every vector. A query walks all trees at once
-with one priority queue: the branch closest to the query, by the squared margins crossed on the way
-to it, is opened next, whatever tree it belongs to. The rows of the leaves it reaches are compared exactly.
-
-The k-th score found so is a bound. A second pass over a single tree, whose nodes hold every row once,
-compares the rows of each node that may lie within that bound, so the result is exact.
+"""Nearest neighbours by forests of random-projection trees with one queue, and exact reranking.
+
+The rows are dealt into shards by hash. A task holds one shard and a block of queries: it grows the shard's
+trees, and each query walks all of them with one priority queue, in which the branch with the smallest
+margins crossed on the way to it comes next, whatever tree it belongs to. The rows of the
+leaves that are opened are compared exactly, and the walk goes on as long as a branch may hold something
+nearer than the k-th found and the leaves allowed are not used up. Those are a number per shard, so
+they grow with the rows. Without that limit the result is exact.
 """
 
 from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
-from dataclasses import dataclass
 from math import ceil, log2
 
 import numpy as np
@@ -21,112 +20,121 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import prepared, shuffle_partitions, stored
-from tidemark.llm.exchange import grouped
-
-# Bound of the sample that the trees' hyperplanes are fitted on.
-SAMPLE_ROWS = 20_000
-TREES = 24
-LEAF_ROWS = 64
-# Leaves a query opens in the first pass, over all trees together. On 51,282 vectors with next to no
-# clusters, of 64 components, these held 97.5 % of the true five nearest, on 10,256 of them 99.8 %.
-LEAVES = 500
-# Rows of a leaf that are compared in one task; a larger leaf is split over several.
-LEAF_SPLIT = 4_096
-# Rows of a node, and queries, that the second pass compares at once.
-BLOCK_ROWS = 2_048
-BLOCK_QUERIES = 1_024
-# What rounding may take from a score, and from the distance to a hyperplane.
-SCORE_ERROR = 1e-9
+
+# Rows of a shard, its trees and the rows of their leaves.
+SHARD_ROWS = 8_192
+TREES = 6
+LEAF_ROWS = 128
+# Leaves a query opens in each shard, over all its trees; the README states the recall.
+LEAVES = 64
+# Leaves that are opened before their rows are compared and the k-th score is looked at again.
+LEAVES_AT_ONCE = 8
+# Queries that meet a shard together.
+QUERY_ROWS = 4_096
+# What rounding may take from the distance to a hyperplane.
 MARGIN_ERROR = 1e-4
 
-HITS = "query_id long, score double, ids array<long>"
+_SHARDS = "shard long, ends binary, ids binary, vectors binary"
+_QUERIES = "shard long, keys binary, names binary, asked binary"
+HITS = "key long, query_id long, vec_id long, score double"
+
+
+def _unit(vectors: np.ndarray) -> np.ndarray:
+    wide = vectors.astype(np.float64)
+    return (wide / np.linalg.norm(wide, axis=1, keepdims=True)).astype(np.float32)
 
 
-@dataclass
 class Forest:
-    """Complete binary trees: a hyperplane for each inner node, children of k at 2k+1 and 2k+2."""
-
-    normals: np.ndarray
-    offsets: np.ndarray
-    depth: int
-
-    @staticmethod
-    def fit(sample: np.ndarray, rows: int, trees: int = TREES, leaf_rows: int = LEAF_ROWS, seed: int = 11) -> Forest:
-        """Trees for a table of so many rows, with hyperplanes from a sample of unit vectors.
-
-        A node's hyperplane lies half way, by the sample's median, between two of its points.
-        """
-        depth = max(0, ceil(log2(max(1, rows) / leaf_rows)))
-        depth = min(depth, max(0, ceil(log2(max(1, len(sample)) / 8))))
-        inner, width = (1 << depth) - 1, sample.shape[1]
-        normals = np.zeros((trees, inner, width), dtype=np.float32)
-        offsets = np.zeros((trees, inner), dtype=np.float32)
+    """Complete binary trees over unit vectors: a hyperplane for each inner node, children of k at 2k+1, 2k+2."""
+
+    def __init__(self, units: np.ndarray, trees: int = TREES, leaf_rows: int = LEAF_ROWS, seed: int = 11):
+        rows, width = units.shape
+        self.depth = max(0, ceil(log2(max(1, rows) / leaf_rows)))
+        self.inner = (1 << self.depth) - 1
+        self.normals = np.zeros((trees, self.inner, width), dtype=np.float32)
+        self.offsets = np.zeros((trees, self.inner), dtype=np.float32)
+        self.leaves: list[list[np.ndarray]] = []
         rng = np.random.default_rng(seed)
         for t in range(trees):
-            members = {0: np.arange(len(sample))}
-            for node in range(inner):
-                own = members.pop(node)
-                if len(own) >= 2:
-                    a, b = rng.choice(own, 2, replace=False)
-                    normal = sample[a] - sample[b]
-                else:
-                    normal = rng.standard_normal(width)
-                size = np.linalg.norm(normal)
-                normals[t, node] = normal / size if size else rng.standard_normal(width) / width**0.5
-                side = sample[own] @ normals[t, node]
-                offsets[t, node] = np.median(side) if len(own) else 0
-                right = side > offsets[t, node]
-                members[2 * node + 1], members[2 * node + 2] = own[~right], own[right]
-        return Forest(normals, offsets, depth)
-
-    def leaves(self, vectors: np.ndarray) -> np.ndarray:
-        """Leaf of each unit vector in each tree (rows by trees)."""
-        out = np.zeros((len(vectors), len(self.normals)), dtype=np.int64)
-        for t in range(len(self.normals)):
-            node = np.zeros(len(vectors), dtype=np.int64)
-            for _ in range(self.depth):
-                side = np.einsum("ij,ij->i", vectors, self.normals[t][node]) > self.offsets[t][node]
-                node = 2 * node + 1 + side
-            out[:, t] = node
-        return out
-
-    def top(self, depth: int) -> Forest:
-        """The upper levels of the first tree."""
-        depth = min(depth, self.depth)
-        inner = (1 << depth) - 1
-        return Forest(self.normals[:1, :inner], self.offsets[:1, :inner], depth)
-
-    def distance(self, node: int, vectors: np.ndarray) -> np.ndarray:
-        """A lower bound of the distance of unit vectors to the rows of a node of the first tree."""
-        far = np.zeros(len(vectors))
-        while node:
-            parent, right = (node - 1) // 2, node % 2 == 0
-            normal = self.normals[0, parent]
-            margin = (vectors @ normal - self.offsets[0, parent]) / max(1.0, float(np.linalg.norm(normal)))
-            far = np.maximum(far, -margin if right else margin)
-            node = parent
-        return far
-
-    def search(self, vector: np.ndarray, leaves: int = LEAVES) -> list[tuple[int, int]]:
-        """The leaves to open for a unit vector, as (tree, leaf), nearest first."""
-        inner = (1 << self.depth) - 1
-        side = self.normals @ vector - self.offsets if inner else np.zeros((len(self.normals), 0))
-        queue = [(0.0, t, 0) for t in range(len(self.normals))]
-        found = []
-        while queue and len(found) < leaves:
-            far, t, node = heapq.heappop(queue)
-            while node < inner:
-                margin = float(side[t, node])
+            level = [np.arange(rows)]
+            for node in range(self.inner):
+                own = level[node]
+                normal = units[rng.choice(own, 2)] if len(own) else np.zeros((2, width), np.float32)
+                normal = normal[0] - normal[1]
+                size = float(np.linalg.norm(normal))
+                # Two draws of one point: any direction does.
+                normal = normal / size if size > 1e-6 else _unit(rng.standard_normal((1, width)))[0]
+                side = units[own] @ normal
+                cut = np.median(side) if len(own) else 0.0
+                self.normals[t, node], self.offsets[t, node] = normal, cut
+                right = side > np.float32(cut)
+                level += [own[~right], own[right]]
+            self.leaves.append(level[self.inner :])
+
+    def margins(self, units: np.ndarray) -> np.ndarray:
+        """Signed distance of each unit vector to every hyperplane (rows by trees by nodes)."""
+        flat = self.normals.reshape(-1, units.shape[1])
+        return (units @ flat.T).reshape(len(units), len(self.normals), self.inner) - self.offsets
+
+    def walk(self, margins: np.ndarray) -> Iterator[tuple[float, np.ndarray]]:
+        """Leaves in the order of the queue, each with the least distance that anything in it
+        or in what is still queued may have."""
+        # Priority, the widest margin crossed (a bound of the distance), tree and node.
+        queue = [(0.0, 0.0, t, 0) for t in range(len(self.normals))]
+        while queue:
+            far, bound, t, node = heapq.heappop(queue)
+            own = margins[t]
+            while node < self.inner:
+                margin = float(own[node])
                 near, other = (2 * node + 2, 2 * node + 1) if margin > 0 else (2 * node + 1, 2 * node + 2)
-                heapq.heappush(queue, (far + margin * margin, t, other))
+                crossed = abs(margin)
+                heapq.heappush(queue, (far + crossed * crossed, max(bound, crossed), t, other))
                 node = near
-            found.append((t, node))
-        return found
-
-
-def _unit(vectors: np.ndarray) -> np.ndarray:
-    wide = vectors.astype(np.float64)
-    return (wide / np.linalg.norm(wide, axis=1, keepdims=True)).astype(np.float32)
+            yield bound, self.leaves[t][node - self.inner]
+
+
+class Shard:
+    """Distinct vectors with the smallest ids that hold them, and the trees over them."""
+
+    def __init__(self, vectors: np.ndarray, ids: list[np.ndarray], trees: int, leaf_rows: int):
+        self.vectors, self.ids = vectors.astype(np.float64), ids
+        self.norms = np.linalg.norm(self.vectors, axis=1)
+        self.smallest = np.array([i[0] for i in ids], dtype=np.int64)
+        self.forest = Forest(_unit(vectors), trees, leaf_rows)
+
+    def search(self, vector: np.ndarray, margins: np.ndarray, k: int, leaves: int | None) -> list[tuple[int, float]]:
+        """(row, score) of the best ``k`` rows found, ties by the smaller id."""
+        norm = float(np.linalg.norm(vector))
+        seen = np.zeros(len(self.vectors), dtype=bool)
+        best_rows, best_scores = np.zeros(0, dtype=np.int64), np.zeros(0)
+        waiting: list[np.ndarray] = []
+        opened = 0
+
+        def compare() -> None:
+            nonlocal best_rows, best_scores
+            rows = np.unique(np.concatenate(waiting))
+            rows = rows[~seen[rows]]
+            seen[rows] = True
+            # Row by row, so that a score doesn't depend on what else is compared.
+            scores = (self.vectors[rows] * vector).sum(axis=1) / (self.norms[rows] * norm)
+            rows, scores = np.concatenate([best_rows, rows]), np.concatenate([best_scores, scores])
+            order = np.lexsort((self.smallest[rows], -scores))[:k]
+            best_rows, best_scores = rows[order], scores[order]
+            waiting.clear()
+
+        for bound, members in self.forest.walk(margins):
+            if len(best_rows) == k and bound - MARGIN_ERROR > np.sqrt(max(0.0, 2 - 2 * best_scores[-1])):
+                # Only this branch is too far; others in the queue have crossed narrower margins.
+                continue
+            waiting.append(members)
+            opened += 1
+            if len(waiting) == LEAVES_AT_ONCE:
+                compare()
+            if opened == leaves:
+                break
+        if waiting:
+            compare()
+        return list(zip(best_rows.tolist(), best_scores.tolist()))
 
 
 def usable(vectors: DataFrame, id_column: str, vector_column: str) -> DataFrame:
@@ -141,6 +149,22 @@ def _matrix(column) -> np.ndarray:
     return np.stack([np.asarray(v, dtype=np.float64) for v in column])
 
 
+def _runs(frames: Iterator[pd.DataFrame], column: str) -> Iterator[pd.DataFrame]:
+    """The rows of one value of a sorted column at a time."""
+    held: list[pd.DataFrame] = []
+    for frame in frames:
+        values = frame[column].to_numpy()
+        cuts = [0, *(np.flatnonzero(values[1:] != values[:-1]) + 1).tolist(), len(values)]
+        for begin, end in zip(cuts, cuts[1:]):
+            if held and begin < end and held[0][column].iat[0] != values[begin]:
+                yield pd.concat(held, ignore_index=True)
+                held = []
+            if begin < end:
+                held.append(frame.iloc[begin:end])
+    if held:
+        yield pd.concat(held, ignore_index=True)
+
+
 def nearest(
     vectors: DataFrame,
     queries: DataFrame,
@@ -150,176 +174,89 @@ def nearest(
     vector_column: str = "embedding",
     trees: int = TREES,
     leaf_rows: int = LEAF_ROWS,
-    leaves: int = LEAVES,
-    sample_rows: int = SAMPLE_ROWS,
-    leaf_split: int = LEAF_SPLIT,
+    leaves: int | None = LEAVES,
+    shard_rows: int = SHARD_ROWS,
 ) -> DataFrame:
     """The ``k`` nearest of each query by cosine: ``query_id``, ``rank``, ``vec_id``, ``score``.
 
-    The result is exact whatever the trees and the number of ``leaves``; these decide how much of the
-    table the second pass can leave out. Ties go to the smaller id; a query is no candidate of its own. Rows with a null id, or a
-    vector that is null, zero or not finite, take no part; neither do vectors of another
-    length than most. Equal vectors are indexed once and stand for their smallest ids: no
-    more than k + 1 of them can be among the nearest. Only the sample reaches the driver.
+    With ``leaves`` None the result is exact. Ties go to the smaller id; rows with a query's id are no
+    candidates of it. Rows with a null id, or a vector that is null, zero or not finite, take no part;
+    neither do vectors of another length than most. Rows alike in id and vector count once; an id
+    with several vectors is a row, and a query, for each of them. Of equal vectors in a shard the k + 1
+    smallest ids are held: no more can be among the nearest. No row reaches the driver.
     """
     spark = vectors.sparkSession
-    partitions = shuffle_partitions(spark)
+    parts = shuffle_partitions(spark)
     rows = usable(vectors, id_column, vector_column)
-    length = rows.groupBy(F.size("vector").alias("d")).count().orderBy(F.desc("count"), "d").first()
-    if length is None:
+    lengths = rows.groupBy(F.size("vector").alias("d")).count().orderBy(F.desc("count"), "d").first()
+    if lengths is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    rows = rows.where(F.size("vector") == length["d"])
-    asked = usable(queries, id_column, vector_column).where(F.size("vector") == length["d"])
-
-    by_id = Window.partitionBy("vector").orderBy("vec_id")
-    kind = rows.schema["vector"].dataType.simpleString()
-    smallest = rows.distinct().withColumn("r", F.row_number().over(by_id)).where(F.col("r") <= k + 1)
-    index = stored(smallest.groupBy("vector").agg(F.sort_array(F.collect_list("vec_id")).alias("ids")))
-    count = index.count()
-    drawn = index.select("vector").orderBy(F.xxhash64("vector"), "vector").limit(sample_rows).collect()
-    forest = Forest.fit(_unit(_matrix(r[0] for r in drawn)), count, trees, leaf_rows)
-
-    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in batches:
-            found = forest.leaves(_unit(_matrix(frame["vector"])))
-            for t in range(found.shape[1]):
-                yield pd.DataFrame({"tree": t, "leaf": found[:, t], "ids": frame["ids"], "vector": frame["vector"]})
-
-    def probe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in batches:
-            for name, vector, unit in zip(frame["vec_id"], frame["vector"], _unit(_matrix(frame["vector"]))):
-                opened = forest.search(unit, leaves)
+    width, shards = lengths["d"], max(1, ceil(lengths["count"] / shard_rows))
+    rows = rows.where(F.size("vector") == width).distinct()
+    shard = F.pmod(F.xxhash64("vec_id", "vector"), F.lit(shards))
+    single = rows.schema["vector"].dataType.simpleString() == "array<float>"
+    kind = np.dtype(np.float32 if single else np.float64)
+
+    def pack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for run in _runs(frames, "shard"):
+            found = np.ascontiguousarray(_matrix(run["vector"]).astype(kind)) + kind.type(0)
+            names = run["vec_id"].to_numpy(np.int64)
+            _, first, which = np.unique(found.view(f"V{kind.itemsize * width}").ravel(), return_index=True, return_inverse=True)
+            order = np.lexsort((names, which))
+            place = np.arange(len(order)) - np.searchsorted(which[order], which[order])
+            held = order[place <= k]
+            ends = np.searchsorted(which[held], np.arange(len(first)), side="right")
+            yield pd.DataFrame(
+                {"shard": [run["shard"].iat[0]], "ends": [ends.tobytes()], "ids": [names[held].tobytes()], "vectors": [found[first].tobytes()]}
+            )
+
+    dealt = rows.withColumn("shard", shard).repartition(parts, "shard").sortWithinPartitions("shard")
+    index = stored(dealt.mapInPandas(pack, _SHARDS))
+
+    def block(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for at in range(0, len(frame), QUERY_ROWS):
+                part = frame.iloc[at : at + QUERY_ROWS]
+                asked = _matrix(part["vector"]).astype(kind)
                 yield pd.DataFrame(
-                    {"tree": [o[0] for o in opened], "leaf": [o[1] for o in opened], "query_id": name, "vector": [vector] * len(opened)}
+                    {"keys": [part["key"].to_numpy(np.int64).tobytes()], "names": [part["vec_id"].to_numpy(np.int64).tobytes()], "asked": [asked.tobytes()]}
                 )
 
-    placed = index.mapInPandas(place, f"tree int, leaf long, ids array<long>, vector {kind}")
-    # Leaves of near copies may be large; they are split, and their queries go to every part.
-    sizes = index.select("vector").mapInPandas(
-        lambda frames: (
-            pd.DataFrame({"tree": t, "leaf": found[:, t]})
-            for found in (forest.leaves(_unit(_matrix(f["vector"]))) for f in frames)
-            for t in range(found.shape[1])
-        ),
-        "tree int, leaf long",
-    )
-    large = stored(sizes.groupBy("tree", "leaf").count().where(F.col("count") > leaf_split).select("tree", "leaf", F.ceil(F.col("count") / leaf_split).alias("parts")))
-    parts = F.coalesce("parts", F.lit(1))
-    candidates = placed.join(large, ["tree", "leaf"], "left").select(
-        "tree", "leaf", F.pmod(F.xxhash64("vector"), parts).alias("part"), F.lit(None).cast("long").alias("query_id"), "ids", "vector"
-    )
-    probes = asked.mapInPandas(probe, f"tree int, leaf long, query_id long, vector {kind}")
-    probes = probes.join(large, ["tree", "leaf"], "left").select(
-        "tree", "leaf", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)).alias("part"), "query_id", F.lit(None).cast("array<long>").alias("ids"), "vector"
-    )
-
-    def compare(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        keyed = (f.assign(cell=list(zip(f["tree"], f["leaf"], f["part"]))) for f in frames)
-        for group in grouped(keyed, "cell"):
-            rows = [r for r in group if r[4] is not None]
-            wanted = [r for r in group if r[4] is None]
-            if not rows or not wanted:
-                continue
-            left, right = _matrix(r[5] for r in wanted), _matrix(r[5] for r in rows)
-            norms = np.linalg.norm(left, axis=1)[:, None] * np.linalg.norm(right, axis=1)[None, :]
-            scores = left @ right.T / norms
-            smallest_id = np.array([r[4][0] for r in rows])
-            out = []
-            for i, q in enumerate(wanted):
-                for j in np.lexsort((smallest_id, -scores[i]))[: k + 1].tolist():
-                    out.append((int(q[3]), scores[i, j], rows[j][4]))
-            yield pd.DataFrame(out, columns=["query_id", "score", "ids"])
-
-    cell = ["tree", "leaf", "part"]
-    met = candidates.unionByName(probes).repartition(partitions, *cell).sortWithinPartitions(*cell)
-    near = _ranked(met.mapInPandas(compare, HITS), k)
-    # A query that found fewer than k rows has no bound yet.
-    least = stored(near.groupBy("query_id").agg(F.min("score").alias("least"), F.count("*").alias("n")).where(F.col("n") == k))
-    bounded = asked.withColumnRenamed("vec_id", "query_id").join(least.select("query_id", "least"), "query_id", "left")
-    dtype = np.float32 if kind == "array<float>" else np.float64
-    tree = forest.top(max(0, ceil(log2(max(1, count) / BLOCK_ROWS))))
-    return _ranked(_within(index, bounded, tree, length["d"], dtype, partitions, k), k)
-
-
-def _ranked(hits: DataFrame, k: int) -> DataFrame:
-    pairs = hits.groupBy("query_id", "ids").agg(F.max("score").alias("score"))
-    pairs = pairs.select("query_id", "score", F.explode("ids").alias("vec_id")).where("vec_id <> query_id")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return pairs.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
-
-
-def _runs(frames: Iterator[pd.DataFrame], most: int) -> Iterator[list[tuple]]:
-    """Runs of at most so many rows with an equal first column."""
-    held: list[tuple] = []
-    for frame in frames:
-        for row in frame.itertuples(index=False, name=None):
-            if held and (row[0] != held[0][0] or len(held) == most):
-                yield held
-                held = []
-            held.append(row)
-    if held:
-        yield held
-
-
-def _within(index: DataFrame, bounded: DataFrame, tree: Forest, length: int, dtype: type, partitions: int, k: int) -> DataFrame:
-    """The rows whose score reaches the bound of a query, at most k + 1 of a block.
-
-    Blocks of rows of one node meet blocks of queries. A query leaves out the nodes that are
-    farther than its bound; without clusters, in many dimensions, these are few.
-    """
-
-    def place(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            node = tree.leaves(_unit(_matrix(frame["vector"])))[:, 0]
-            yield pd.DataFrame({"node": node, "ids": frame["ids"], "vector": frame["vector"]})
-
-    def pack_rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for run in _runs(frames, BLOCK_ROWS):
-            ids = [np.asarray(r[1], dtype=np.int64) for r in run]
-            ends = np.cumsum([len(i) for i in ids], dtype=np.int64)
-            vectors = _matrix(r[2] for r in run).astype(dtype)
-            yield pd.DataFrame({"node": [run[0][0]], "ids": [np.concatenate(ids).tobytes()], "ends": [ends.tobytes()], "rows": [vectors.tobytes()]})
-
-    def pack_queries(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for run in _runs(frames, BLOCK_QUERIES):
-            names = np.array([r[1] for r in run], dtype=np.int64)
-            least = np.array([r[2] for r in run], dtype=np.float64)
-            vectors = _matrix(r[3] for r in run).astype(dtype)
-            yield pd.DataFrame({"names": [names.tobytes()], "least": [least.tobytes()], "queries": [vectors.tobytes()]})
+    asked = usable(queries, id_column, vector_column).where(F.size("vector") == width).distinct()
+    numbered = stored(asked.withColumn("key", F.monotonically_increasing_id()))
+    blocks = numbered.mapInPandas(block, "keys binary, names binary, asked binary")
+    # Every block of queries meets every shard.
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))).alias("shard")
+    met = blocks.select(every, "*").repartition(parts, "shard").join(index.repartition(parts, "shard"), "shard")
 
     def compare(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        number, own = None, None
         for frame in frames:
             for r in frame.itertuples(index=False):
-                left, right = (np.frombuffer(b, dtype).reshape(-1, length).astype(np.float64) for b in (r.queries, r.rows))
-                names, least = np.frombuffer(r.names, np.int64), np.frombuffer(r.least)
-                reach = np.sqrt(np.maximum(0, 2 - 2 * least)) + MARGIN_ERROR
-                may = tree.distance(r.node, _unit(left)) <= reach
-                left, names, least = left[may], names[may], least[may]
-                norms = np.linalg.norm(left, axis=1)[:, None] * np.linalg.norm(right, axis=1)[None, :]
-                scores = left @ right.T / norms
-                ids = np.split(np.frombuffer(r.ids, np.int64), np.frombuffer(r.ends, np.int64)[:-1])
-                smallest_id = np.array([i[0] for i in ids])
-                hit = scores >= least[:, None] - SCORE_ERROR
+                if number != r.shard:
+                    ids = np.split(np.frombuffer(r.ids, np.int64), np.frombuffer(r.ends, np.int64)[:-1])
+                    own = Shard(np.frombuffer(r.vectors, kind).reshape(-1, width), ids, trees, leaf_rows)
+                    number = r.shard
+                wanted = np.frombuffer(r.asked, kind).reshape(-1, width)
+                keys, names = np.frombuffer(r.keys, np.int64), np.frombuffer(r.names, np.int64)
                 out = []
-                for i in np.flatnonzero(hit.any(axis=1)).tolist():
-                    at = np.flatnonzero(hit[i])
-                    for j in at[np.lexsort((smallest_id[at], -scores[i, at]))[: k + 1]].tolist():
-                        out.append((names[i], scores[i, j], ids[j]))
-                if out:
-                    yield pd.DataFrame(out, columns=["query_id", "score", "ids"])
-
-    vector = index.schema["vector"].dataType.simpleString()
-    placed = index.mapInPandas(place, f"node long, ids array<long>, vector {vector}")
-    # A node of near copies may be large: its rows are spread over several tasks.
-    placed = placed.repartitionByRange(partitions, "node", F.xxhash64("vector")).sortWithinPartitions("node")
-    rows = stored(placed.mapInPandas(pack_rows, "node long, ids binary, ends binary, rows binary"))
-    # No cosine is below -1.
-    wanted = bounded.select(F.lit(0).alias("run"), "query_id", F.coalesce("least", F.lit(-2.0)).alias("least"), "vector")
-    queries = stored(wanted.mapInPandas(pack_queries, "names binary, least binary, queries binary"))
-    return rows.crossJoin(queries).mapInPandas(compare, HITS)
+                for begin in range(0, len(wanted), 256):
+                    part = wanted[begin : begin + 256]
+                    margins = own.forest.margins(_unit(part))
+                    for i, vector in enumerate(part.astype(np.float64)):
+                        key, name = int(keys[begin + i]), int(names[begin + i])
+                        # One more than k: the query's own row may be among them.
+                        for row, score in own.search(vector, margins[i], k + 1, leaves):
+                            out += [(key, name, other, score) for other in own.ids[row].tolist() if other != name]
+                yield pd.DataFrame(out, columns=["key", "query_id", "vec_id", "score"])
+
+    best = Window.partitionBy("key").orderBy(F.desc("score"), "vec_id")
+    ranked = met.mapInPandas(compare, HITS).withColumn("rank", F.row_number().over(best))
+    return ranked.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
 def op2_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Queries are the rows whose id is divisible by 50."""
     prepared(spark)
     vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
     return nearest(vectors, vectors.where("vec_id % 50 = 0"))
