@@ -1,10 +1,12 @@
 """License scan: phrases counted exactly, notices found by a set-similarity join.
 
-Blocks of consecutive words are joined with a small table of notices on the share of a
-notice's distinct words that a block holds. The notices' words are ordered by their frequency
-in all documents, rarest first. A block that meets the threshold holds a word of the notice's
-prefix (prefix filter) and enough distinct words (length filter), and enough words of the
-notice can still follow the first one met (positional filter); what passes is counted exactly.
+Blocks of consecutive words are joined with a table of notices on the share of a notice's distinct
+words that a block holds. The notices' words are ordered by their frequency in all documents, rarest
+first. A block that meets the threshold holds a word of the notice's prefix (prefix filter). Every word of
+a notice near a prefix word starts a block, so none that meets the threshold is missed, wherever in
+the text it lies. A block leaves if it holds fewer of the notice's words than needed (length filter), or if
+too few can follow the rarest one met in the notice's order (positional filter); the distinct words of
+what is left are counted exactly.
 """
 
 from __future__ import annotations
@@ -24,30 +26,63 @@ from tidemark.llm.common import documents
 # Phrases and their labels.
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
 
-# Opening words of common license notices.
+# Notices of common licenses, lower case and without punctuation.
 NOTICES = {
     "notice-mit": "permission is hereby granted free of charge to any person obtaining a copy of this software"
+    " and associated documentation files the software to deal in the software without restriction including without"
+    " limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software"
+    " and to permit persons to whom the software is furnished to do so subject to the following conditions the above"
+    " copyright notice and this permission notice shall be included in all copies or substantial portions of the software",
+    "notice-mit-opening": "permission is hereby granted free of charge to any person obtaining a copy of this software"
     " and associated documentation files",
+    "notice-warranty": "the software is provided as is without warranty of any kind express or implied including but"
+    " not limited to the warranties of merchantability fitness for a particular purpose and noninfringement",
     "notice-apache": "licensed under the apache license version 2 0",
+    "notice-apache-header": "licensed under the apache license version 2 0 the license you may not use this file except"
+    " in compliance with the license you may obtain a copy of the license at http www apache org licenses license 2 0"
+    " unless required by applicable law or agreed to in writing software distributed under the license is distributed"
+    " on an as is basis without warranties or conditions of any kind either express or implied see the license for the"
+    " specific language governing permissions and limitations under the license",
     "notice-gpl": "this program is free software you can redistribute it and or modify it under the terms of the"
     " gnu general public license",
+    "notice-gpl-header": "this program is free software you can redistribute it and or modify it under the terms of the"
+    " gnu general public license as published by the free software foundation either version 3 of the license or at your"
+    " option any later version this program is distributed in the hope that it will be useful but without any warranty"
+    " without even the implied warranty of merchantability or fitness for a particular purpose see the gnu general"
+    " public license for more details",
     "notice-bsd": "redistribution and use in source and binary forms with or without modification are permitted"
     " provided that the following conditions are met",
+    "notice-bsd-conditions": "redistributions of source code must retain the above copyright notice this list of"
+    " conditions and the following disclaimer redistributions in binary form must reproduce the above copyright notice"
+    " this list of conditions and the following disclaimer in the documentation and or other materials provided with"
+    " the distribution",
     "notice-isc": "permission to use copy modify and or distribute this software for any purpose with or without"
     " fee is hereby granted",
+    "notice-isc-full": "permission to use copy modify and or distribute this software for any purpose with or without"
+    " fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies",
     "notice-mpl": "this source code form is subject to the terms of the mozilla public license",
+    "notice-mpl-header": "this source code form is subject to the terms of the mozilla public license v 2 0 if a copy of"
+    " the mpl was not distributed with this file you can obtain one at http mozilla org mpl 2 0",
     "notice-cc": "this work is licensed under a creative commons attribution",
     "notice-public-domain": "this is free and unencumbered software released into the public domain",
+    "notice-public-domain-full": "this is free and unencumbered software released into the public domain anyone is free to"
+    " copy modify publish use compile sell or distribute this software either in source code form or as a compiled binary"
+    " for any purpose commercial or non commercial and by any means",
 }
 
 CONTAINMENT = Fraction(4, 5)
-# A notice of up to half a block lies wholly in one of the blocks.
+# Words of a block: so many at least, and a quarter more than the notice has.
 BLOCK_WORDS = 64
-STRIDE = BLOCK_WORDS // 2
+# Blocks that are counted together.
+BLOCKS_AT_ONCE = 20_000
 
 MATCH = "array<struct<label: string, first_word: long, containment: double>>"
 
 
+def block_words(notice_words: int) -> int:
+    return max(BLOCK_WORDS, ceil(notice_words * 5 / 4))
+
+
 def _hashes(words: Sequence[str]) -> np.ndarray:
     data = [w.encode() for w in words]
     ends = np.cumsum([len(w) for w in data])
@@ -58,6 +93,8 @@ def _hashes(words: Sequence[str]) -> np.ndarray:
 def word_counts(docs: DataFrame, words: Sequence[str], text_column: str = "text") -> dict[str, int]:
     """Occurrences of some words in all documents; the result has one entry per word."""
     wanted = sorted(set(words))
+    if not wanted:
+        return {}
     codes = _hashes(wanted)
     order = np.argsort(codes)
     ordered = codes[order]
@@ -76,72 +113,80 @@ def word_counts(docs: DataFrame, words: Sequence[str], text_column: str = "text"
     return {r["word"]: r["n"] for r in counted.groupBy("word").agg(F.sum("n").alias("n")).collect()}
 
 
-class NoticeIndex:
-    """Notices with their words in global order, and the prefix words that lead to them."""
+class Notice:
+    """A notice's distinct words in global order, rarest first."""
 
-    def __init__(self, notices: Mapping[str, str], counts: Mapping[str, int], threshold: Fraction):
-        self.notices = []
-        leads: dict[str, list[int]] = {}
-        for label, text in sorted(notices.items()):
-            words = sorted(set(text.split()), key=lambda w: (counts.get(w, 0), w))
-            if not words or len(words) > 63:
-                raise ValueError(f"{label}: a notice holds 1 to 63 distinct words")
-            least = ceil(threshold * len(words))
-            for word in words[: len(words) - least + 1]:
-                leads.setdefault(word, []).append(len(self.notices))
-            codes = _hashes(words)
-            order = np.argsort(codes)
-            self.notices.append((label, codes[order], order, len(words), least))
-        words = sorted(leads)
+    def __init__(self, label: str, text: str, counts: Mapping[str, int], threshold: Fraction):
+        words = sorted(set(text.split()), key=lambda w: (counts.get(w, 0), w))
         codes = _hashes(words)
-        order = np.argsort(codes)
-        self.lead_codes = codes[order]
-        self.leads = [leads[words[i]] for i in order]
+        self.label, self.size = label, len(words)
+        self.least = ceil(threshold * len(words))
+        self.width = block_words(len(text.split()))
+        # Ranks up to this one are the prefix.
+        self.prefix = self.size - self.least
+        self.rank = np.argsort(codes)
+        self.codes = codes[self.rank]
 
-    def matches(self, codes: np.ndarray, first: np.ndarray) -> list[tuple[int, str, int, float]]:
-        """(text, label, first word of the block, containment) of all blocks that qualify.
+    def blocks(self, codes: np.ndarray, first: np.ndarray) -> list[tuple[int, int, float]]:
+        """(text, first word, containment) of the blocks that qualify, overlapping ones as one: the best.
 
         ``codes``: word hashes of some texts; ``first``: index of each text's first word, and an end.
         """
-        if not len(codes):
+        spot = np.minimum(np.searchsorted(self.codes, codes), self.size - 1)
+        at = np.flatnonzero(self.codes[spot] == codes)
+        rank = self.rank[spot[at]]
+        rare = at[rank <= self.prefix]
+        if not len(rare):
             return []
-        spot = np.minimum(np.searchsorted(self.lead_codes, codes), len(self.lead_codes) - 1)
-        met = np.flatnonzero(self.lead_codes[spot] == codes)
-        found = []
-        for k, (label, own, rank, size, least) in enumerate(self.notices):
-            led = np.array([k in x for x in self.leads])
-            at = met[led[spot[met]]]
-            if not len(at):
-                continue
-            text = np.searchsorted(first, at, side="right") - 1
-            block = (at - first[text]) // STRIDE
-            # The word also lies in the block that began one stride earlier.
-            pairs = np.unique(
-                np.concatenate([np.stack([text, block], 1), np.stack([text, np.maximum(block - 1, 0)], 1)]), axis=0
-            )
-            begin = first[pairs[:, 0]] + pairs[:, 1] * STRIDE
-            stop = np.minimum(begin + BLOCK_WORDS, first[pairs[:, 0] + 1])
-            long_enough = stop - begin >= least
-            pairs, begin, stop = pairs[long_enough], begin[long_enough], stop[long_enough]
-            for part in range(0, len(pairs), 20_000):
-                cut = slice(part, part + 20_000)
-                index = begin[cut, None] + np.arange(BLOCK_WORDS)
-                words = codes[np.minimum(index, len(codes) - 1)]
-                at_word = np.minimum(np.searchsorted(own, words), size - 1)
-                same = (own[at_word] == words) & (index < stop[cut, None])
-                # Bit i: the block holds the notice's word i in global order.
-                bits = np.bitwise_or.reduce(
-                    np.where(same, np.uint64(1) << rank[at_word].astype(np.uint64), np.uint64(0)), axis=1
-                )
-                lowest = np.bitwise_count((bits & (~bits + np.uint64(1))) - np.uint64(1))
-                can_reach = size - lowest.astype(np.int64) >= least
-                shared = np.where(can_reach, np.bitwise_count(bits), 0).astype(np.int64)
-                for i in np.flatnonzero(shared >= least).tolist():
-                    text_at, block_at = pairs[part + i].tolist()
-                    found.append((text_at, label, block_at * STRIDE, int(shared[i]) / size))
+        text = np.searchsorted(first, at, side="right") - 1
+        # A block from each word of the notice, up to its width or the text's end.
+        stop = np.minimum(at + self.width, first[text + 1])
+        follows = np.searchsorted(rare, at)
+        led = (follows < len(rare)) & (rare[np.minimum(follows, len(rare) - 1)] < stop)
+        last = np.searchsorted(at, stop)
+        begin = np.flatnonzero(led & (last - np.arange(len(at)) >= self.least))
+        share = np.zeros(len(begin))
+        for cut in range(0, len(begin), BLOCKS_AT_ONCE):
+            rows = begin[cut : cut + BLOCKS_AT_ONCE]
+            # No block has more of the notice's words than it has words.
+            wide = int((last[rows] - rows).max())
+            index = rows[:, None] + np.arange(wide)
+            inside = index < last[rows][:, None]
+            held = np.where(inside, rank[np.minimum(index, len(rank) - 1)], self.size)
+            # From the rarest word met on, the notice still has to hold as many as are needed.
+            may = np.flatnonzero(self.size - held.min(axis=1) >= self.least)
+            ordered = np.sort(held[may], axis=1)
+            new = np.ones(ordered.shape, dtype=bool)
+            new[:, 1:] = ordered[:, 1:] != ordered[:, :-1]
+            share[cut + may] = (new & (ordered < self.size)).sum(axis=1) / self.size
+        good = np.flatnonzero(share >= self.least / self.size)
+        found: list[tuple[int, int, float]] = []
+        end = -1
+        for i in good.tolist():
+            place, owner = int(at[begin[i]]), int(text[begin[i]])
+            entry = (owner, place - int(first[owner]), float(share[i]))
+            if found and place < end and found[-1][0] == owner:
+                if entry[2] > found[-1][2]:
+                    found[-1] = entry
+            else:
+                found.append(entry)
+            end = int(stop[begin[i]])
         return found
 
 
+class NoticeIndex:
+    """All notices."""
+
+    def __init__(self, notices: Mapping[str, str], counts: Mapping[str, int], threshold: Fraction):
+        self.notices = [Notice(label, text, counts, threshold) for label, text in sorted(notices.items())]
+
+    def matches(self, codes: np.ndarray, first: np.ndarray) -> list[tuple[int, str, int, float]]:
+        """(text, label, first word of the block, containment) of the blocks that qualify."""
+        if not len(codes):
+            return []
+        return [(text, n.label, word, share) for n in self.notices for text, word, share in n.blocks(codes, first)]
+
+
 def scan_licenses(
     docs: DataFrame,
     *,
@@ -153,11 +198,13 @@ def scan_licenses(
     """Phrases and notices of each document.
 
     Columns: ``doc_id``, ``n_words``, ``n_base``, ``first_word``, ``last_word``, ``base_labels``,
-    ``labels``, ``score`` and ``matches`` (label, first word of the block, containment of every
-    block that meets the threshold). The score is 1 with a phrase, else the best containment,
+    ``labels``, ``score`` and ``matches`` (label, first word and containment of every block that meets
+    the threshold; of overlapping ones the best). The score is 1 with a phrase, else the best containment,
     else 0. Null text counts as empty; repeated rows give repeated results; other columns are
     ignored. Two passes over the texts, no shuffle of documents.
     """
+    if any(not text.split() for text in notices.values()):
+        raise ValueError("a notice holds words")
     counts = word_counts(docs, [w for text in notices.values() for w in text.split()], text_column)
     index = NoticeIndex(notices, counts, threshold)
     phrases = [(_hashes(p.split()), label) for p, label in PHRASES.items()]
