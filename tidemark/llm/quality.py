@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
-from math import log2
+from math import comb, log2
 
 import numpy as np
 import pyarrow as pa
@@ -19,12 +19,15 @@ from pyspark.sql import functions as F
 from tidemark.llm.arrays import NOT_SPACE, combine, repeated, slabs
 from tidemark.llm.common import documents, stored
 
-# Bound of the labelled sample that rules are learned from.
+# About so many labelled rows, drawn by a hash, are what rules are learned from.
 LABELLED_ROWS = 20_000
+# A rule has to be this precise on rows it wasn't grown on, and its hits there less likely by chance than this.
 LEAST_PRECISION = 0.9
+MOST_CHANCE = 0.01
 MOST_RULES = 12
 MOST_CONDITIONS = 4
 CUTS = 48
+_FINE = 1 << 30
 
 _SYMBOLS = np.zeros(256, dtype=bool)
 _SYMBOLS[[ord(c) for c in "#*$%&|<>"]] = True
@@ -60,7 +63,11 @@ def _per_text(flags: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def text_statistics(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """Counts over each whole text (``COUNTS``); null text has none of anything."""
+    """Counts over each whole text (``COUNTS``); null text has none of anything.
+
+    Repeated rows and rows without an id are counted each for itself; other columns, whatever
+    their names, are ignored; an empty table gives none.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -149,7 +156,9 @@ def _grow(table: dict[str, np.ndarray], bad: np.ndarray) -> Rule:
         for feature in FEATURES:
             values = table[feature][inside]
             marks = bad[inside]
-            for cut in np.unique(np.quantile(values, np.linspace(0, 1, CUTS))):
+            # Quantiles of all rows, and of the bad ones, which are few.
+            steps = np.linspace(0, 1, CUTS)
+            for cut in np.unique([np.quantile(values, steps), np.quantile(values[marks], steps, method="nearest")]):
                 for above in (True, False):
                     held = values >= cut if above else values <= cut
                     p1 = int((marks & held).sum())
@@ -165,17 +174,30 @@ def _grow(table: dict[str, np.ndarray], bad: np.ndarray) -> Rule:
     return tuple(rule)
 
 
-def _prune(rule: Rule, table: dict[str, np.ndarray], bad: np.ndarray) -> tuple[Rule, float]:
-    """The prefix of a rule that does best on rows it wasn't grown on, and its precision there."""
+def chance_of(hits: int, covered: int, bad: int, rows: int) -> float:
+    """Probability that ``covered`` of ``rows`` rows, drawn blindly, hold ``hits`` bad ones or more."""
+    ways = comb(rows, covered)
+    return sum(comb(bad, k) * comb(rows - bad, covered - k) for k in range(hits, min(bad, covered) + 1)) / ways
+
+
+def _prune(rule: Rule, table: dict[str, np.ndarray], bad: np.ndarray) -> tuple[Rule, float, float]:
+    """The prefix of a rule that does best on rows it wasn't grown on, its precision there, and how
+    likely its hits are by chance: an exact test, so few rows can do as well as many."""
 
-    def worth(part: Rule) -> tuple[float, float]:
+    def counts(part: Rule) -> tuple[int, int]:
         held = _covered(part, table, len(bad))
-        p, n = int((bad & held).sum()), int((~bad & held).sum())
-        return ((p - n) / (p + n), (p + 1) / (p + n + 2)) if p + n else (-1.0, 0.0)
+        return int((bad & held).sum()), int((~bad & held).sum())
+
+    def worth(part: Rule) -> float:
+        p, n = counts(part)
+        return (p - n) / (p + n) if p + n else -1.0
 
     parts = [rule[:k] for k in range(1, len(rule) + 1)]
-    best = max(parts, key=lambda part: (worth(part)[0], -len(part)))
-    return best, worth(best)[1]
+    best = max(parts, key=lambda part: (worth(part), sum(counts(part)), -len(part)))
+    p, n = counts(best)
+    if not p:
+        return best, 0.0, 1.0
+    return best, p / (p + n), chance_of(p, p + n, int(bad.sum()), len(bad))
 
 
 def learn_rules(
@@ -187,14 +209,18 @@ def learn_rules(
     rng = np.random.default_rng(seed)
     while len(rules) < MOST_RULES and (bad & left).sum() >= 3:
         rows = np.flatnonzero(left)
-        grown = rng.random(len(rows)) < 2 / 3
+        # Two thirds of the bad rows and of the others each.
+        grown = np.zeros(len(rows), dtype=bool)
+        for kind in (True, False):
+            own = rng.permutation(np.flatnonzero(bad[rows] == kind))
+            grown[own[: -(-2 * len(own) // 3)]] = True
         grow_rows, prune_rows = rows[grown], rows[~grown]
         rule = _grow({k: v[grow_rows] for k, v in table.items()}, bad[grow_rows])
         if not rule:
             break
-        rule, precise = _prune(rule, {k: v[prune_rows] for k, v in table.items()}, bad[prune_rows])
+        rule, precise, chance = _prune(rule, {k: v[prune_rows] for k, v in table.items()}, bad[prune_rows])
         held = _covered(rule, table, len(bad)) & left
-        if precise < precision or not (held & bad).sum():
+        if precise < precision or chance > MOST_CHANCE or not (held & bad).sum():
             break
         rules.append(rule)
         left &= ~held
@@ -219,13 +245,17 @@ def base_failed() -> Column:
 def labelled_sample(
     statistics: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS
 ) -> tuple[dict[str, np.ndarray], np.ndarray]:
-    """Features and labels of at most ``rows`` labelled documents that pass the base rules."""
+    """Features and labels of about ``rows`` labelled documents that pass the base rules.
+
+    A document is drawn by a hash of its id against the share that is wanted of the counted ones; a
+    repeated id counts by its smallest label, in each of its rows.
+    """
     known = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
     joined = statistics.where(~base_failed()).join(known, "doc_id")
-    chosen = joined.select(
-        F.xxhash64(F.col("doc_id").cast("string")).alias("draw"), "doc_id", "quality", *[F.expr(v).alias(k) for k, v in FEATURES.items()]
-    )
-    found = chosen.orderBy("draw", "doc_id", *FEATURES).limit(rows).collect()
+    share = min(1.0, rows / max(1, joined.count()))
+    drawn = joined.where(F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(_FINE)) < int(_FINE * share))
+    chosen = drawn.select("doc_id", "quality", *[F.expr(v).alias(k) for k, v in FEATURES.items()])
+    found = sorted(chosen.collect())
     table = {k: np.array([r[k] for r in found], dtype=np.float64) for k in FEATURES}
     return table, np.array([r["quality"] == 0 for r in found], dtype=bool)
 
@@ -240,7 +270,8 @@ def judge(statistics: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Learn from the labelled documents, judge all.
 
-    Null text has no words and fails; an unlabelled corpus gets no learned rules.
+    Null text has no words and fails; an unlabelled corpus gets no learned rules. Repeated rows
+    are judged alike, each for itself, and extra columns of either table are ignored.
     """
     statistics = stored(text_statistics(documents(spark, sf_dir)))
     table, bad = labelled_sample(statistics, spark.read.parquet(f"{sf_dir}/labels.parquet"))
