@@ -23,7 +23,9 @@ from tidemark.llm.common import documents
 
 MAX_TOKENS = 1024
 END_ID = 0
+# Chunks that a worker remembers, and the longest one.
 CACHED_CHUNKS = 600_000
+CACHED_BYTES = 64
 
 # A chunk is a word with the one white space before it. Its ids don't depend on its
 # neighbours as long as no two white spaces meet; texts where some do, or which hold white
@@ -48,14 +50,18 @@ def piece_lengths(tokens: int, longest: int = MAX_TOKENS) -> list[int]:
 class ChunkTokenizer:
     """Token ids of texts, with the ids of frequent chunks remembered.
 
-    The memory is a bounded cache; it never changes an id. The file holds the byte-pair ranks
-    that the JSON form of the same vocabulary holds as merges: the ids are equal (tested), and
-    short chunks are encoded several times as fast.
+    The memory is a bounded cache by the chunks' bytes; it never changes an id. The rank file holds what
+    the JSON form of the same vocabulary holds as merges: the ids are equal (tested), and short chunks are
+    encoded several times as fast. Texts that hold one of the JSON form's special strings are encoded
+    by its own library, which gives these strings their special ids.
     """
 
     def __init__(self, path: str, cached: int = CACHED_CHUNKS):
+        import json
+
         import public_tokenizers
         import tiktoken
+        from tokenizers import Tokenizer
 
         with open(path, "rb") as lines:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
@@ -63,8 +69,12 @@ class ChunkTokenizer:
             "own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
         )
         self.encode = encoding.encode_ordinary
+        whole = path.removesuffix(".tiktoken") + ".json"
+        self.library = Tokenizer.from_file(whole)
+        with open(whole, encoding="utf-8") as text:
+            self.special = [token["content"].encode() for token in json.load(text)["added_tokens"]]
         self.cached = cached
-        self.ids: dict[str, bytes] = {}
+        self.ids: dict[bytes, bytes] = {}
 
     def _irregular(self, slab: Slab) -> np.ndarray:
         """The texts that can't be cut into chunks."""
@@ -76,34 +86,49 @@ class ChunkTokenizer:
         wide = wide[(data[wide] != 0xC2) | np.isin(data[np.minimum(wide + 1, len(data) - 1)], (0x85, 0xA0))]
         return np.unique(np.searchsorted(offsets, np.concatenate([bad, last[space[last]], wide]), side="right") - 1)
 
-    def _chunk_ids(self, slab: Slab, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def _special(self, slab: Slab, raw: bytes) -> set[int]:
+        """The texts that hold a special string."""
+        found: set[int] = set()
+        for token in self.special:
+            at = raw.find(token)
+            while at >= 0:
+                text = int(np.searchsorted(slab.offsets, at, side="right")) - 1
+                if at + len(token) <= slab.offsets[text + 1]:
+                    found.add(text)
+                at = raw.find(token, at + 1)
+        return found
+
+    def _chunk_ids(self, raw: bytes, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the chunks in order, and each chunk's number of ids."""
-        hashes, at, which = np.unique(slab.span_hashes(start, end), return_index=True, return_inverse=True)
         if len(self.ids) > self.cached:
             self.ids = {}
-        keys = hashes.tolist()
-        found = list(map(self.ids.get, keys))
-        raw = slab.data.tobytes()
+        chunks = [raw[a:b] for a, b in zip(start.tolist(), end.tolist())]
+        found = list(map(self.ids.get, chunks))
+        new: dict[bytes, bytes] = {}
         for i in [i for i, ids in enumerate(found) if ids is None]:
-            chunk = raw[start[at[i]] : end[at[i]]].decode("utf-8", "replace")
-            found[i] = self.ids[keys[i]] = array("I", self.encode(chunk)).tobytes()
+            chunk = chunks[i]
+            if chunk not in new:
+                new[chunk] = array("I", self.encode(chunk.decode("utf-8", "replace"))).tobytes()
+            found[i] = new[chunk]
+        self.ids.update((c, ids) for c, ids in new.items() if len(c) <= CACHED_BYTES)
         flat = np.frombuffer(b"".join(found), dtype="<u4")
-        size = np.fromiter(map(len, found), np.int64, len(found)) // 4
-        first = np.cumsum(size) - size
-        count = size[which]
-        shift = np.repeat(first[which] - (np.cumsum(count) - count), count)
-        return flat[shift + np.arange(len(shift))], count
+        return flat, np.fromiter(map(len, found), np.int64, len(found)) // 4
 
     def __call__(self, slab: Slab) -> list[np.ndarray]:
         """Ids of each text of a slab."""
+        raw = slab.data.tobytes()
         start, end, first = slab.words(NOT_SPACE)
         inner = np.ones(len(start), dtype=bool)
         inner[first[:-1][np.diff(first) > 0]] = False
         leads = start > slab.offsets[np.searchsorted(slab.offsets, start, side="right") - 1]
-        ids, count = self._chunk_ids(slab, start - (inner | leads), end)
+        ids, count = self._chunk_ids(raw, start - (inner | leads), end)
         bounds = np.concatenate([[0], np.cumsum(count)])[first]
         found = [ids[a:b] for a, b in zip(bounds, bounds[1:])]
-        for i in self._irregular(slab).tolist():
+        special = self._special(slab, raw)
+        for i in special:
+            text = slab.text(i).decode("utf-8", "replace")
+            found[i] = np.array(self.library.encode(text, add_special_tokens=False).ids, dtype="<u4")
+        for i in set(self._irregular(slab).tolist()) - special:
             found[i] = np.array(self.encode(slab.text(i).decode("utf-8", "replace")), dtype="<u4")
         return found
 
