@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import arrays, forest, language, language_model, licenses, mixing, near_duplicates, packing, personal, quality
+from tidemark.llm import arrays, language, language_model, licenses, mixing, near_duplicates, packing, personal, quality
 from tidemark.llm import repeated_spans
 from tidemark.llm.common import id_fold, prepared
 
@@ -131,7 +131,6 @@ def test_packing_covers_every_token_once(docs, rows):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     pieces = collections.defaultdict(list)
     packed = packing.pack_documents(docs, packing.default_tokenizer()).collect()
     assert len({p["sequence_id"] for p in packed}) == len(packed)
@@ -148,6 +147,28 @@ def test_packing_covers_every_token_once(docs, rows):
         assert joined == ids
 
 
+def test_special_strings_get_the_ids_of_the_library(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|> x  y", "<|endoftext", "plain <|end oftext|>", "é" * 3_000_000 + " <|endoftext|>", "w " * 900_000]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(2)
+    packed = packing.pack_documents(df, packing.default_tokenizer())
+    pieces = sorted(packed.collect(), key=lambda p: (p["doc_id"], p["start"]))
+    for i, text in enumerate(texts):
+        ids = [x for p in pieces if p["doc_id"] == i for x in p["ids"]]
+        assert ids == [*tokenizer.encode(text, add_special_tokens=False).ids, 0]
+
+
+def test_buckets_hold_pieces_of_one_length(spark, docs, tmp_path):
+    packed = packing.pack_documents(docs, packing.default_tokenizer())
+    packing.write_buckets(packed, str(tmp_path / "b"))
+    stored = spark.read.parquet(str(tmp_path / "b"))
+    assert stored.count() == packed.count()
+    assert stored.where("length <> shiftleft(1, bucket) or size(ids) <> length").isEmpty()
+
+
 def _luhn(digits):
     total = sum(map(int, digits[-1::-2])) + sum(sum(divmod(2 * int(d), 10)) for d in digits[-2::-2])
     return total % 10 == 0
@@ -184,15 +205,51 @@ def test_license_phrases_and_notices(spark, docs, rows):
     assert len(found) == len(rows)
     r = found[8]
     assert (r["n_base"], r["first_word"], r["last_word"], r["base_labels"]) == (3, 0, 6, "mit")
-    notice = licenses.NOTICES["notice-bsd"].split()
-    cases = [" ".join(["w"] * 70 + notice), " ".join(notice[:18]), " ".join(notice[:5]), "x " * 40 + " ".join(notice[::-1])]
-    scanned = by_id(licenses.scan_licenses(spark.createDataFrame(list(enumerate(cases)), "doc_id long, text string")))
-    for name, text in enumerate(cases):
-        words = text.split()
-        blocks = [set(words[i : i + 64]) for i in range(0, max(1, len(words)), 32)]
-        best = max(len(b & set(notice)) / len(set(notice)) for b in blocks)
-        assert ("notice-bsd" in scanned[name]["labels"]) == (best >= 0.8)
-        assert scanned[name]["score"] == (pytest.approx(best) if best >= 0.8 else 0)
+    texts = [t or "" for _, t in rows]
+    for name, text in rows:
+        words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(FOLD))
+        places = [(i, label) for phrase, label in licenses.PHRASES.items() for n in [phrase.split()]
+                  for i in range(len(words)) if words[i : i + len(n)] == n]
+        r = found[name]
+        assert (r["n_words"], r["n_base"], r["base_labels"]) == (len(words), len(places), ",".join(sorted({x for _, x in places})))
+        assert (r["first_word"], r["last_word"]) == ((min(places)[0], max(places)[0]) if places else (None, None))
+    assert any(texts)
+
+
+def _best_blocks(words, notices):
+    """The best containment of each notice over every block of its width."""
+    best = {}
+    for label, text in notices.items():
+        wanted, width = set(text.split()), licenses.block_words(len(text.split()))
+        best[label] = max((len(set(words[i : i + width]) & wanted) / len(wanted) for i in range(max(1, len(words)))), default=0)
+    return best
+
+
+def test_notices_are_found_wherever_they_lie(spark):
+    rng = random.Random(9)
+    notices = {**licenses.NOTICES, "notice-long": " ".join(f"w{i}" for i in range(90))}
+    bsd, mit = notices["notice-bsd"].split(), notices["notice-mit"].split()
+    cases = [["x"] * offset + bsd for offset in range(0, 130, 7)]
+    cases += [["x"] * offset + [w for k, w in enumerate(mit) for w in ([w, "line"] if k % 4 == 0 else [w])] for offset in (0, 16, 33)]
+    cases += [[f"w{i}" for i in range(90)], [f"w{i}" for i in range(0, 90, 2)], bsd[::-1], bsd[:5], bsd * 3, [], ["the"] * 500]
+    pool = sorted({w for t in notices.values() for w in t.split()}) + ["x"] * 30
+    cases += [[rng.choice(pool) for _ in range(rng.randint(0, 300))] for _ in range(40)]
+    for _ in range(40):
+        base = rng.choice(list(notices.values())).split()
+        cases.append(["y"] * rng.randint(0, 90) + [w for w in base for w in ([w] if rng.random() < 0.85 else ["z"])] + ["y"] * 5)
+    df = spark.createDataFrame([(i, " ".join(c), "n") for i, c in enumerate(cases)], "doc_id long, text string, label string")
+    scanned = by_id(licenses.scan_licenses(df, notices=notices))
+    hits = 0
+    for name, words in enumerate(cases):
+        best = {k: v for k, v in _best_blocks(words, notices).items() if v >= 0.8}
+        got = {}
+        for m in scanned[name]["matches"]:
+            got[m["label"]] = max(m["containment"], got.get(m["label"], 0))
+        assert got == pytest.approx(best), (name, words[:80])
+        hits += len(best)
+    assert hits > 60
+    with pytest.raises(ValueError):
+        licenses.scan_licenses(df, notices={"none": " "})
 
 
 def test_quality_statistics_and_rules(docs, rows):
@@ -216,6 +273,40 @@ def test_quality_statistics_and_rules(docs, rows):
     assert quality.learn_rules({k: v[:0] for k, v in table.items()}, bad[:0]) == []
 
 
+def test_two_ordered_rules_from_few_labels():
+    """Two kinds of bad rows among some hundred: a rule for each, and none from labels without a pattern."""
+    rng = np.random.default_rng(1)
+    table = {k: rng.random(360) for k in quality.FEATURES}
+    bad = (table["symbol_share"] > 0.95) | (table["upper_share"] > 0.95)
+    assert 20 < bad.sum() < 50
+    rules = quality.learn_rules(table, bad)
+    assert len(rules) >= 2 and {c.feature for r in rules for c in r} >= {"symbol_share", "upper_share"}
+    held = np.any([quality._covered(r, table, 360) for r in rules], axis=0)
+    assert (held & bad).sum() >= 0.9 * bad.sum() and (held & ~bad).sum() <= 3
+    assert quality.learn_rules(table, rng.random(360) < 0.08) == []
+    assert quality.chance_of(3, 3, 9, 118) == pytest.approx(9 * 8 * 7 / (118 * 117 * 116))
+
+
+def test_verdicts_of_the_quality_query(spark):
+    path = "/root/testdata/sf0.01"
+    found = by_id(quality.op4_quality_rules(spark, path))
+    docs = spark.read.parquet(f"{path}/documents.parquet").collect()
+    assert len(found) == len(docs)
+    for r in docs:
+        words = re.findall(WORD, r["text"] or "")
+        windows = collections.Counter(tuple(words[i : i + 3]) for i in range(len(words) - 2))
+        repeat = {i + j for i in range(len(words) - 2) if windows[tuple(words[i : i + 3])] > 1 for j in range(3)}
+        v = found[r["doc_id"]]
+        assert v["base_failed"] == (len(words) < 50 or 100 * len(repeat) > 50 * len(words))
+        assert v["kept"] == (not v["base_failed"] and v["rule"] == 0)
+    labels = spark.read.parquet(f"{path}/labels.parquet").collect()
+    judged = [(r["quality"], found[r["doc_id"]]) for r in labels if r["doc_id"] in found and r["quality"] is not None]
+    low = [v for q, v in judged if q == 0 and not v["base_failed"]]
+    good = [v for q, v in judged if q == 1 and not v["base_failed"]]
+    assert any(v["rule"] for v in found.values()) and sum(not v["kept"] for v in low) >= 0.8 * len(low)
+    assert sum(v["kept"] for v in good) >= 0.97 * len(good)
+
+
 def test_mixing_reaches_targets(docs, rows):
     found = mixing.mix_sources(docs, block=8).collect()
     assert len(found) == len(rows)
@@ -231,53 +322,6 @@ def test_mixing_reaches_targets(docs, rows):
     assert again == sorted(map(str, found))
 
 
-def test_neighbours_on_few_rows_are_exact(spark):
-    prepared(spark)
-    rng = np.random.default_rng(2)
-    vectors = [[float(np.float32(x)) for x in v] for v in rng.standard_normal((120, 8))]
-    vectors[7] = vectors[3] = vectors[50] = vectors[0]
-    special = [None, [0.0] * 8, [float("nan")] * 8, [None] * 8, [1.0]]
-    table = spark.createDataFrame(list(enumerate(vectors + special)), "vec_id long, embedding array<float>")
-    found = forest.nearest(table, table.where("vec_id % 50 = 0"), leaf_split=16).collect()
-    x = np.array(vectors)
-    for q in (0, 50, 100):
-        score = x @ x[q] / np.linalg.norm(x, axis=1) / np.linalg.norm(x[q])
-        best = sorted((-round(s, 12), i) for i, s in enumerate(score) if i != q)[:5]
-        own = sorted((r["rank"], r["vec_id"]) for r in found if r["query_id"] == q)
-        assert [i for _, i in own] == [i for _, i in best]
-    assert {r["query_id"] for r in found} == {0, 50, 100}
-
-
-def test_neighbours_are_exact_when_few_leaves_are_opened(spark):
-    prepared(spark)
-    rng = np.random.default_rng(3)
-    spread = rng.standard_normal((3_000, 32))
-    centres = rng.standard_normal((40, 32))
-    clustered = centres[rng.integers(0, 40, 3_000)] + 0.05 * rng.standard_normal((3_000, 32))
-    x = np.concatenate([spread, clustered]).astype(np.float32).astype(np.float64)
-    table = spark.createDataFrame(list(enumerate(x.tolist())), "vec_id long, embedding array<float>")
-    found = forest.nearest(table, table.where("vec_id % 50 = 0"), trees=3, leaves=4, leaf_rows=16, sample_rows=500).collect()
-    own = collections.defaultdict(dict)
-    for r in found:
-        own[r["query_id"]][r["rank"]] = r["vec_id"]
-    units = x / np.linalg.norm(x, axis=1, keepdims=True)
-    for q in range(0, len(x), 50):
-        score = units @ units[q]
-        score[q] = -2
-        assert [own[q][r] for r in range(1, 6)] == np.argsort(-score)[:5].tolist()
-
-
-def test_nodes_are_at_least_as_far_as_their_bound():
-    rng = np.random.default_rng(4)
-    x = forest._unit(rng.standard_normal((2_000, 6)))
-    tree = forest.Forest.fit(x[:500], 2_000, trees=2, leaf_rows=64).top(4)
-    nodes = tree.leaves(x)[:, 0]
-    for node in set(nodes.tolist()):
-        nearest = np.linalg.norm(x[:, None, :] - x[nodes == node][None, :, :], axis=2).min(axis=1)
-        bound = tree.distance(node, x)
-        assert (bound <= nearest + 1e-5).all() and bound[nodes == node].max() == 0 < bound.max()
-
-
 def test_language_of_held_out_documents(spark):
     table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     prepared(spark)

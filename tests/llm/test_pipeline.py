@@ -31,6 +31,38 @@ def test_stages_keep_and_change_what_they_should(spark):
     assert pieces.groupBy("doc_id").agg({"length": "sum"}).count() == before.select("doc_id").distinct().count()
 
 
+FOREIGN = [
+    "Litwo! Ojczyzno moja! ty jesteś jak zdrowie. Ile cię trzeba cenić, ten tylko się dowie, kto cię stracił. Dziś piękność twą w całej ozdobie widzę.",
+    "吾輩は猫である。名前はまだ無い。どこで生れたかとんと見当がつかぬ。何でも薄暗いじめじめした所でニャーニャー泣いていた事だけは記憶している。",
+    "Все счастливые семьи похожи друг на друга, каждая несчастливая семья несчастлива по-своему. Все смешалось в доме Облонских.",
+    "asdkjh qwlekj zxmcn asdlkj qpwoei zmxncb alskdj qwoeiu zxmnc laksjd qpwoeu zmxnc alsjdh qwpeo zxmcnb aslkdj qwpoei zmxcn",
+]
+
+
+def test_foreign_texts_go_and_clean_documents_stay(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    foreign = spark.createDataFrame([(-i, t, None, "s", len(t)) for i, t in enumerate(FOREIGN, 1)], docs.schema)
+    short = spark.createDataFrame([(-9, "zq xw", None, "s", 5), (-10, None, None, None, None), (-11, "123 ...", None, None, 7)], docs.schema)
+    kept = corpus_pipeline.known_language(spark, docs.unionByName(foreign).unionByName(short), "").select("doc_id").collect()
+    ids = {r[0] for r in kept}
+    assert {i for i in ids if i < 0} == {-9}
+    assert len(ids) - 1 >= 0.99 * docs.where("text rlike '[a-zA-Z]'").count()
+
+
+def test_rows_that_share_an_id_go_only_as_near_duplicates(spark):
+    one, two, three = (" ".join(f"{p}{i}" for i in range(60)) for p in "abc")
+    rows = [(1, one), (1, two), (2, one), (None, two), (None, three), (None, None), (5, None), (6, ""), (7, one + " tail")]
+    docs = spark.createDataFrame([(i, t, "de", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.without_near_duplicates(spark, docs.repartition(3), "").collect()
+    assert sorted(((r["doc_id"], r["text"]) for r in kept), key=str) == sorted([(1, one), (1, two), (None, three), (None, None), (5, None), (6, "")], key=str)
+
+
+def test_the_pipeline_on_an_empty_table(spark, tmp_path):
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/documents.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
 def test_mixing_keeps_rows_without_or_with_repeated_ids(spark):
     rows = [(None if i % 3 == 0 else i // 2, "w " * (1 + i % 7), "de", ("a", "b", "c")[i // 200], 2) for i in range(600)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(5).cache()
@@ -61,7 +93,8 @@ def test_mixing_deals_alike_rows_over_blocks(spark, monkeypatch):
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_sql(spark, name):
     connection = duckdb.connect()
-    connection.execute(f"create view documents as select * from '{SF_DIR}/documents.parquet'")
+    for table in ("documents", "embeddings", "conversations"):
+        connection.execute(f"create view {table} as select * from '{SF_DIR}/{table}.parquet'")
     result = connection.execute(ORACLES[name])
     columns = [d[0] for d in result.description]
     ours = QUERIES[name](spark, SF_DIR).select(*columns).collect()
@@ -69,4 +102,4 @@ def test_query_matches_sql(spark, name):
 
 
 def test_every_operator_is_registered():
-    assert {q.split("_")[0] for q in QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {q.split("_")[0] for q in QUERIES} == {f"op{n}" for n in range(1, 14)}

@@ -27,6 +27,12 @@ EMBEDDING = 8
 TEXTS_PER_LANGUAGE = 1_200
 WINDOWS_PER_TEXT = 4
 EPOCHS = 4
+# Texts of fewer bytes are too short to tell whether their byte pairs are those of a language.
+LEAST_BYTES = 64
+# A text is foreign if its pairs are rarer than those of all but this share of held-out texts, and
+# by more than this, in nats a byte.
+FOREIGN_SHARE = 0.001
+FOREIGN_MARGIN = 0.3
 _FINE = 1 << 20
 _FOLDED = np.arange(256, dtype=np.uint8)
 _FOLDED[65:91] += 32
@@ -50,6 +56,8 @@ class ByteNetwork:
     biases: dict[int, np.ndarray]
     dense: np.ndarray
     offset: np.ndarray
+    # Logarithms of the probabilities of a byte after another, by language.
+    pairs: np.ndarray | None = None
 
     @staticmethod
     def fresh(languages: list[str], rng: np.random.Generator) -> ByteNetwork:
@@ -127,6 +135,14 @@ def train(
     return network
 
 
+def pair_logs(windows: np.ndarray, labels: np.ndarray, languages: int) -> np.ndarray:
+    """How likely each byte is after each other one, in the windows of each language."""
+    first, second = windows[:, :-1].astype(np.int64), windows[:, 1:].astype(np.int64)
+    code = (labels[:, None] * 256 + first) * 256 + second
+    counts = np.bincount(code[second > 0], minlength=languages << 16).reshape(languages, 256, 256) + 0.02
+    return np.log(counts / counts.sum(axis=2, keepdims=True)).astype(np.float32)
+
+
 class Tables:
     """The network's filters as sums of table rows for single bytes and byte pairs."""
 
@@ -205,18 +221,28 @@ def fit(
         return None
     windows = np.frombuffer(b"".join(r[1] for r in rows), dtype=np.uint8).reshape(-1, WINDOW)
     index = {k: i for i, k in enumerate(languages)}
-    return train(windows, np.array([index[r[0]] for r in rows]), languages)
+    classes = np.array([index[r[0]] for r in rows])
+    network = train(windows, classes, languages)
+    network.pairs = pair_logs(windows, classes, len(languages))
+    return network
 
 
 def identify(
-    docs: DataFrame, network: ByteNetwork | None, *, text_column: str = "text", prediction: str = "lang_pred"
+    docs: DataFrame,
+    network: ByteNetwork | None,
+    *,
+    text_column: str = "text",
+    prediction: str = "lang_pred",
+    familiarity: str | None = None,
 ) -> DataFrame:
     """Append the predicted language and its probability; all rows and columns stay.
 
     Null text, text without a letter and an untrained network give ``und`` with score 0. Equal
-    texts get equal results. Existing columns named like the new ones are replaced.
+    texts get equal results. Existing columns named like the new ones are replaced. ``familiarity`` names a
+    further column: how likely the text's byte pairs are in that language, as a mean
+    logarithm a byte; null for texts that are too short to tell.
     """
-    kept = [c for c in docs.columns if c not in (prediction, "score")]
+    kept = [c for c in docs.columns if c not in (prediction, "score", familiarity)]
     schema = docs.select(*[F.col(f"`{c}`") for c in kept]).schema
     position = kept.index(text_column)
     languages = network.languages if network else []
@@ -227,10 +253,12 @@ def identify(
         for batch in batches:
             names: list[str | None] = []
             scores: list[float] = []
+            likely: list[float | None] = []
             for _, _, slab in slabs(batch.column(position)):
                 if tables is None:
                     names += [UNKNOWN] * len(slab)
                     scores += [0.0] * len(slab)
+                    likely += [None] * len(slab)
                     continue
                 size = np.diff(slab.offsets)
                 count = np.maximum(1, -(-size // WINDOW))
@@ -239,8 +267,10 @@ def identify(
                 start = slab.offsets[owner] + rank * WINDOW
                 end = slab.offsets[owner + 1]
                 if len(slab.data):
-                    logits = tables.logits(windows_of(slab.data, start, end)).astype(np.float64)
+                    windows = windows_of(slab.data, start, end)
+                    logits = tables.logits(windows).astype(np.float64)
                 else:
+                    windows = np.zeros((len(owner), WINDOW), dtype=np.uint8)
                     logits = np.zeros((len(owner), len(languages)))
                 weight = np.clip(end - start, 1, WINDOW).astype(np.float64)
                 totals = np.zeros((len(slab), len(languages)))
@@ -251,12 +281,21 @@ def identify(
                 best = chance.argmax(axis=1)
                 names += [languages[k] for k in best]
                 scores += chance[np.arange(len(best)), best].tolist()
+                if familiarity:
+                    likely += _familiarity(weights.pairs, windows, best[owner], owner, size)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())],
-                names=[*kept, prediction, "score"],
+                [
+                    *batch.columns,
+                    pa.array(names, pa.string()),
+                    pa.array(scores, pa.float64()),
+                    *([pa.array(likely, pa.float64())] if familiarity else []),
+                ],
+                names=[*kept, prediction, "score", *([familiarity] if familiarity else [])],
             )
 
     fields = schema.add(prediction, "string").add("score", "double")
+    if familiarity:
+        fields = fields.add(familiarity, "double")
     found = docs.select(*[F.col(f"`{c}`") for c in kept]).mapInArrow(predict, fields)
     letters = F.coalesce(F.col(text_column).rlike(r"\p{L}"), F.lit(False))
     return found.withColumns(
@@ -267,6 +306,46 @@ def identify(
     )
 
 
+def _familiarity(
+    pairs: np.ndarray, windows: np.ndarray, language: np.ndarray, owner: np.ndarray, size: np.ndarray
+) -> list[float | None]:
+    """Mean logarithm of the pairs of each text in its language; None for short texts."""
+    code = (windows[:, :-1].astype(np.int32) << 8) | windows[:, 1:]
+    real = windows[:, 1:] > 0
+    values = pairs.reshape(len(pairs), -1)[language[:, None], code]
+    sums = np.bincount(owner, np.where(real, values, 0).sum(axis=1), len(size))
+    counts = np.bincount(owner, real.sum(axis=1), len(size))
+    means = sums / np.maximum(counts, 1)
+    return [float(m) if n >= LEAST_BYTES else None for m, n in zip(means, size.tolist())]
+
+
+def least_familiarity(
+    docs: DataFrame,
+    network: ByteNetwork,
+    held_out,
+    *,
+    text_column: str = "text",
+    label_column: str = "lang",
+    id_column: str = "doc_id",
+    texts: int = 4 * TEXTS_PER_LANGUAGE,
+) -> float | None:
+    """The least familiarity of a text in one of the languages, from rightly told held-out texts.
+
+    They are a bounded sample: about ``texts`` of them, drawn by a hash of the id. None if there
+    are none that are long enough.
+    """
+    known = docs.where(held_out & F.col(label_column).isNotNull() & F.col(text_column).isNotNull())
+    count = known.count()
+    if not count:
+        return None
+    share = int(_FINE * min(1, texts / count))
+    drawn = known.where(F.pmod(F.xxhash64(F.col(id_column).cast("string")), F.lit(_FINE)) < share)
+    found = identify(drawn.select(id_column, text_column, label_column), network, text_column=text_column, familiarity="_likely")
+    right = found.where((F.col("lang_pred") == F.col(label_column)) & F.col("_likely").isNotNull())
+    likely = [r[0] for r in right.select("_likely").collect()]
+    return float(np.quantile(likely, FOREIGN_SHARE)) - FOREIGN_MARGIN if likely else None
+
+
 def trained(docs: DataFrame) -> ByteNetwork | None:
     """The network learned from the documents outside the held-out fold."""
     return fit(docs, id_fold("doc_id", 3) != 1)
