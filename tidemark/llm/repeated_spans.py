@@ -7,7 +7,8 @@ sorted; the order and the common prefixes of all others are induced from them:
    anchor. Equal windows have equal anchors at equal places, so only windows around an anchor
    that occurs twice can repeat. Anchors are counted over all texts, and single ones leave.
 2. *Equal surroundings.* Anchors whose surroundings (all windows they stand for) are equal to
-   another's are repeated as a whole; one of them stands for all in the next step.
+   another's, told by 128 bits of hashes, are repeated as a whole; one of them stands for all in
+   the next step.
 3. *Sorted sample suffixes.* The remaining suffixes are dealt by anchor and sorted by Spark's
    external sort, which spills to disk: the queue of suffix tuples.
 4. *Induction.* From the sorted suffixes at the anchors, with the common-prefix lengths of
@@ -40,11 +41,13 @@ ANCHOR = 64
 MOST_IN_GROUP = 20_000
 # Suffixes held at once while inducing.
 HELD_ROWS = 30_000
+# Places of one anchor that one task joins; more are dealt over several.
+ANCHOR_ROWS = 20_000
 # Windows looked at together, and bits that tell their places apart.
 _STEP = 1 << 16
 _PLACE_BITS = 20
 
-_PLACES = "doc_id long, text_hash long, anchor long, around long, at long, near long, far long"
+_PLACES = "doc_id long, text_hash long, anchor long, around long, around_b long, at long, near long, far long"
 
 
 def _anchor_hashes(data: np.ndarray) -> np.ndarray:
@@ -119,17 +122,20 @@ def _places(docs: DataFrame, length: int) -> DataFrame:
                 around = slab.span_hashes(first, last + length)
                 # Equal surroundings have the anchor at the same place.
                 around = mix(around ^ (at - first).astype(np.uint64))
+                # A second hash of its own: with other values for the bytes, A-Z as a-z.
+                around_b = slab.span_hashes(first, last + length, fold=True)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([ids[first_row + i] for i in owner.tolist()], pa.int64()),
                         pa.array([hashes[first_row + i] for i in owner.tolist()], pa.int64()),
                         pa.array(code.view(np.int64)),
                         pa.array(around.view(np.int64)),
+                        pa.array(around_b.view(np.int64)),
                         pa.array(at - slab.offsets[owner]),
                         pa.array(at - last),
                         pa.array(at - first),
                     ],
-                    names=["doc_id", "text_hash", "anchor", "around", "at", "near", "far"],
+                    names=["doc_id", "text_hash", "anchor", "around", "around_b", "at", "near", "far"],
                 )
 
     return docs.select("doc_id", "text_hash", "text").mapInArrow(work, _PLACES)
@@ -322,16 +328,27 @@ def repeated_spans(keyed: DataFrame, length: int = LENGTH, most_in_group: int =
     """
     partitions = shuffle_partitions(keyed.sparkSession)
     places = stored(_places(keyed, length))
-    often = places.groupBy("anchor").agg(
-        F.count(F.lit(1)).alias("n"), F.min("around").alias("lo"), F.max("around").alias("hi")
-    ).where("n > 1")
-    shared = stored(places.join(often.select("anchor", (F.col("lo") != F.col("hi")).alias("mixed")), "anchor"))
+    counted = places.groupBy("anchor").agg(
+        F.count(F.lit(1)).alias("n"),
+        *[f(c).alias(f"{name}_{c}") for c in ("around", "around_b") for name, f in (("low", F.min), ("high", F.max))],
+    )
+    mixed = (F.col("low_around") != F.col("high_around")) | (F.col("low_around_b") != F.col("high_around_b"))
+    often = stored(counted.where("n > 1").select("anchor", "n", mixed.alias("mixed")))
+    # Anchors of very many places, at most the places by ``ANCHOR_ROWS``, are dealt over several tasks.
+    hot = F.broadcast(often.where(F.col("n") > ANCHOR_ROWS).select("anchor", F.ceil(F.col("n") / ANCHOR_ROWS).alias("parts")))
+    parts = F.coalesce("parts", F.lit(1))
+    dealt = places.join(hot, "anchor", "left").withColumn("part", F.pmod(F.xxhash64("doc_id", "text_hash", "at"), parts))
+    copies = often.join(hot, "anchor", "left").select(
+        "anchor", "mixed", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)).alias("part")
+    )
+    shared = stored(dealt.drop("parts").join(copies, ["anchor", "part"]).drop("part"))
     whole_span = ["doc_id", "text_hash", (F.col("at") - F.col("far")).alias("start"), (F.col("at") - F.col("near") + length).alias("stop")]
     alike = shared.where("not mixed").select(*whole_span)
     mixed = shared.where("mixed")
     row = F.struct("doc_id", "text_hash", "at", "near", "far")
-    kinds = stored(mixed.groupBy("anchor", "around").agg(F.count(F.lit(1)).alias("n"), F.min(row).alias("row")))
-    copied = mixed.join(kinds.where("n > 1").select("anchor", "around"), ["anchor", "around"], "left_semi").select(*whole_span)
+    same = ["anchor", "around", "around_b"]
+    kinds = stored(mixed.groupBy(*same).agg(F.count(F.lit(1)).alias("n"), F.min(row).alias("row")))
+    copied = mixed.join(kinds.where("n > 1").select(*same), same, "left_semi").select(*whole_span)
     large = kinds.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds")).where(F.col("kinds") > most_in_group)
     wanted = kinds.join(large.select("anchor", F.lit(True).alias("large")), "anchor", "left").select(
         "anchor", "row.*", (F.col("n") > 1).alias("whole"), F.coalesce("large", F.lit(False)).alias("large")
@@ -404,7 +421,9 @@ def remove_repeats(
 
 
 def op1_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return remove_repeats(documents(spark, sf_dir), with_text=False).drop("spans", "kept")
+    """The whole table; the last column tells documents that lose anything."""
+    found = remove_repeats(documents(spark, sf_dir), with_text=False).drop("spans", "kept")
+    return found.withColumn("has_repeats", F.col("n_removed") > 0)
 
 
 QUERIES = {"op1_suffix_array": op1_suffix_array}
