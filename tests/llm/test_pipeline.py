@@ -57,6 +57,19 @@ def test_rows_that_share_an_id_go_only_as_near_duplicates(spark):
     assert sorted(((r["doc_id"], r["text"]) for r in kept), key=str) == sorted([(1, one), (1, two), (None, three), (None, None), (5, None), (6, "")], key=str)
 
 
+def test_unmasked_texts_do_not_stay_in_the_shared_folder(spark):
+    from tidemark.session import checkpoint_folder
+    from tidemark.sources.files import child_names
+
+    folder = checkpoint_folder(spark)
+    before = set(child_names(spark, folder))
+    pieces = corpus_pipeline.run(spark, SF_DIR)
+    new = set(child_names(spark, folder)) - before
+    assert len(new) == 1 and pieces.count() > 0
+    left = spark.read.parquet(f"{folder}/{new.pop()}")
+    assert left.where("text rlike '[a-z0-9]@[a-z0-9-]+[.][a-z]'").isEmpty()
+
+
 def test_the_pipeline_on_an_empty_table(spark, tmp_path):
     schema = "doc_id long, text string, lang string, source string, n_chars long"
     spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/documents.parquet")

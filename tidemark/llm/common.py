@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.session import checkpoint_folder
+from tidemark.sources.files import remove_folder
 
 # Rows that Spark hands to a Python task at once. Texts are cut into slabs afterwards, so
 # this only bounds one transfer.
@@ -23,10 +26,31 @@ def prepared(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
 
 
+_scratch: list[str] = []
+
+
+def new_folder(spark: SparkSession) -> str:
+    """A folder that doesn't exist yet, in the shared checkpoint folder."""
+    root = _scratch[-1] if _scratch else checkpoint_folder(spark)
+    return f"{root}/tidemark-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """What is stored inside is removed at the end; results have to be written elsewhere before."""
+    root = f"{checkpoint_folder(spark)}/tidemark-scratch-{uuid.uuid4().hex}"
+    _scratch.append(root)
+    try:
+        yield
+    finally:
+        _scratch.remove(root)
+        remove_folder(spark, root)
+
+
 def stored(df: DataFrame, *partitions: str) -> DataFrame:
     """Write a table to the shared checkpoint folder and read it back: lineage ends there."""
     spark = df.sparkSession
-    path = f"{checkpoint_folder(spark)}/tidemark-{uuid.uuid4().hex}"
+    path = new_folder(spark)
     df.write.partitionBy(*partitions).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
