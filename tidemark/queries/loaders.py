@@ -1,8 +1,8 @@
 """Every current-state loader on a raw table derived from the orders.
 
-The raw table of a loader is built by rule from its column names: identifiers
+The raw table of a loader is built by rule from the column names of its sheet: identifiers
 in mixed case with spaces, text that is not always readable as its type, and
-about ten copies per identifier.
+about ten copies per identifier. The SQL is made from the sheet as well, not from the loader.
 """
 
 from __future__ import annotations
@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.plans.loaders import INGESTION_COLUMNS, LOADERS, Loader, current_state
+from tidemark.queries.loader_sheets import SHEETS
 from tidemark.queries.views import sql_text, table
 
 TIE = "copyno"
@@ -120,11 +121,11 @@ def oracle_statement(name: str, loader: Loader) -> str:
 
 def _query(name: str, loader: Loader):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        raw = spark.sql(raw_sql(name, loader), orders=table(spark, sf_dir, "orders"))
+        raw = spark.sql(raw_sql(name, SHEETS[name]), orders=table(spark, sf_dir, "orders"))
         return current_state(raw, loader, [f"{TIE} desc"])
 
     return run
 
 
 QUERIES = {f"load_{name}": _query(name, loader) for name, loader in LOADERS.items()}
-ORACLES = {f"load_{name}": oracle_statement(name, loader) for name, loader in LOADERS.items()}
+ORACLES = {f"load_{name}": oracle_statement(name, SHEETS[name]) for name in LOADERS}
