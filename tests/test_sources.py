@@ -19,6 +19,7 @@ from tidemark.sources.ingest import (
     ingest_all,
     ingest_report,
     ingest_table,
+    snapshot,
     tables_from_settings,
 )
 from tidemark.sources.publish import recover, replace_partition, rewrite_folders
@@ -429,6 +430,20 @@ def test_an_index_opens_few_files(spark, tmp_path):
     assert {f: f.stat().st_mtime_ns for f in untouched} == untouched and spark.read.parquet(path).count() == 3_995
 
 
+def test_environments_may_differ_in_types(spark):
+    frames = {
+        "NL": frame(spark, "id int, timestamp string, price float", (1, "x", 0.5)),
+        "BE": frame(spark, "ID string, note binary", ("b", bytearray(b"n"))),
+        "FR": frame(spark, "id long, note string, price double", (1 << 40, "t", 0.25)),
+    }
+    united = snapshot(frames, COPIED)
+    assert united.columns == ["id", "price", "environment", "note", "cigcopytime", "cigprocessed"]
+    found = sorted((r.environment, r.id, r.price, r.note and bytes(r.note)) for r in united.collect())
+    assert found == [("BE", "b", None, b"n"), ("FR", str(1 << 40), 0.25, b"t"), ("NL", "1", 0.5, None)]
+    with pytest.raises(ValueError):
+        snapshot({}, COPIED)
+
+
 def test_a_failing_table_neither_stops_nor_hides_the_others(spark, tmp_path):
     source, target = str(tmp_path / "source"), str(tmp_path / "raw")
     for name in ("Users", "Items", "Units"):

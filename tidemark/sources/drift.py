@@ -199,6 +199,35 @@ class DriftingTable:
         return result
 
 
+def unite(frames: Sequence[DataFrame]) -> DataFrame:
+    """Union by column name of frames that may differ in columns and types, as ``read_drifting`` does it."""
+    if not frames:
+        raise ValueError("nothing to unite")
+    names: dict[str, str] = {}
+    kinds: dict[str, list[T.DataType]] = {}
+    for frame in frames:
+        for field in frame.schema:
+            names.setdefault(field.name.lower(), field.name)
+            kinds.setdefault(field.name.lower(), []).append(field.dataType)
+    common = {key: common_type(types) for key, types in kinds.items()}
+
+    def brought(frame: DataFrame) -> DataFrame:
+        own = {field.name.lower(): field for field in frame.schema}
+        return frame.select(
+            [
+                converted(F.col(f"`{own[key].name}`"), own[key].dataType, kind).alias(names[key])
+                if key in own
+                else F.lit(None).cast(kind).alias(names[key])
+                for key, kind in common.items()
+            ]
+        )
+
+    result = brought(frames[0])
+    for frame in frames[1:]:
+        result = result.unionByName(brought(frame))
+    return result
+
+
 def read_drifting(spark: SparkSession, path: str) -> DataFrame:
     """A parquet folder whose files differ in columns or types, as one frame.
 

@@ -13,9 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.fixed_values import ENVIRONMENTS, INGESTED_TABLES, SOURCE_FOLDERS
+from tidemark.sources.drift import unite
 from tidemark.sources.files import path_exists, read_text
 from tidemark.sources.sinks import write_partitions
-from tidemark.sources.tables import tag, union_by_name
+from tidemark.sources.tables import tag
 
 
 @dataclass(frozen=True)
@@ -61,8 +62,8 @@ def stamp(df: DataFrame, copied_at: datetime) -> DataFrame:
 
 
 def snapshot(frames: dict[str, DataFrame], copied_at: datetime) -> DataFrame:
-    """Unite the frames of several environments, tagged and stamped."""
-    return stamp(union_by_name([tag(df, {"environment": env}) for env, df in frames.items()]), copied_at)
+    """Unite the frames of several environments, tagged and stamped; they may differ in columns and types."""
+    return stamp(unite([tag(df, {"environment": env}) for env, df in frames.items()]), copied_at)
 
 
 def ingest_table(
