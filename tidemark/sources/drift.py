@@ -1,14 +1,15 @@
 """Tables whose files differ in their columns and types.
 
-Files are grouped so that the footers of a group agree. Spark merges footers in a distributed job; where
-types clash the list of folders is halved until they don't, which takes a few jobs for each change of
-a type, however many files there are. A group is read in its own types, brought to the common ones and
-united with the others, so columns that only some days have are kept and no value is lost.
+Files are grouped so that the footers of a group agree. Spark merges the footers of all files in one
+distributed job; where types clash it merges those of each folder, some folders at once, and those of
+a folder's files where they clash within it. A group is read in its own types, brought to the common ones
+and united with the others, so columns that only some days have are kept and no value is lost.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from urllib.parse import unquote
 
@@ -24,6 +25,8 @@ FILE = "_file"
 ROW = "_row"
 GROUP = "_group"
 MARKERS = (FILE, ROW, GROUP)
+# Folders whose footers are merged at once where types clash.
+FOLDERS_AT_ONCE = 8
 
 _CLASHES = ("CANNOT_MERGE_SCHEMAS", "CANNOT_MERGE_INCOMPATIBLE_DATA_TYPE")
 _WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
@@ -115,26 +118,25 @@ class DriftingTable:
         return T.StructType([f for f in schema if f.name not in own])
 
     def _grouped(self, folders: dict[str, list[str]]) -> list[FileGroup]:
+        if not folders:
+            return []
+        whole = self._merged(sorted(folders))
+        if whole is not None:
+            return [FileGroup(tuple(self.files), whole)]
+        with ThreadPoolExecutor(FOLDERS_AT_ONCE) as pool:
+            merged = dict(zip(folders, pool.map(lambda folder: self._merged([folder]), folders)))
         found: list[FileGroup] = []
-        work: list[list[str]] = [sorted(folders)] if folders else []
-        while work:
-            paths = work.pop(0)
-            schema = self._merged(paths)
-            if schema is None and len(paths) == 1:
-                inner = folders.get(paths[0], [])
-                if len(inner) < 2:
-                    raise ValueError(f"the footer of {paths[0]} can't be read")
-                work.insert(0, inner)
-            elif schema is None:
-                middle = len(paths) // 2
-                work[:0] = [paths[:middle], paths[middle:]]
-            else:
-                files = tuple(f for p in paths for f in folders.get(p, [p]))
-                same = next((k for k, g in enumerate(found) if _agree(g.schema, schema)), None)
+        for folder, files in folders.items():
+            schema = merged[folder]
+            parts = [(files, schema)] if schema is not None else [([f], self._merged([f])) for f in files]
+            for own, kind in parts:
+                if kind is None:
+                    raise ValueError(f"the footer of {own[0]} can't be read")
+                same = next((k for k, g in enumerate(found) if _agree(g.schema, kind)), None)
                 if same is None:
-                    found.append(FileGroup(files, schema))
+                    found.append(FileGroup(tuple(own), kind))
                 else:
-                    found[same] = FileGroup(found[same].files + files, _union(found[same].schema, schema))
+                    found[same] = FileGroup((*found[same].files, *own), _union(found[same].schema, kind))
         return found
 
     @property
