@@ -41,8 +41,6 @@ ANCHOR = 64
 MOST_IN_GROUP = 20_000
 # Suffixes held at once while inducing.
 HELD_ROWS = 30_000
-# Places of one anchor that one task joins; more are dealt over several.
-ANCHOR_ROWS = 20_000
 # Windows looked at together, and bits that tell their places apart.
 _STEP = 1 << 16
 _PLACE_BITS = 20
@@ -333,15 +331,9 @@ def repeated_spans(keyed: DataFrame, length: int = LENGTH, most_in_group: int =
         *[f(c).alias(f"{name}_{c}") for c in ("around", "around_b") for name, f in (("low", F.min), ("high", F.max))],
     )
     mixed = (F.col("low_around") != F.col("high_around")) | (F.col("low_around_b") != F.col("high_around_b"))
-    often = stored(counted.where("n > 1").select("anchor", "n", mixed.alias("mixed")))
-    # Anchors of very many places, at most the places by ``ANCHOR_ROWS``, are dealt over several tasks.
-    hot = F.broadcast(often.where(F.col("n") > ANCHOR_ROWS).select("anchor", F.ceil(F.col("n") / ANCHOR_ROWS).alias("parts")))
-    parts = F.coalesce("parts", F.lit(1))
-    dealt = places.join(hot, "anchor", "left").withColumn("part", F.pmod(F.xxhash64("doc_id", "text_hash", "at"), parts))
-    copies = often.join(hot, "anchor", "left").select(
-        "anchor", "mixed", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)).alias("part")
-    )
-    shared = stored(dealt.drop("parts").join(copies, ["anchor", "part"]).drop("part"))
+    often = stored(counted.where("n > 1").select("anchor", mixed.alias("mixed")))
+    # Both sides are shuffled for this join alone, so Spark can split the places of a hot anchor.
+    shared = stored(places.join(often.select("anchor", "mixed"), "anchor"))
     whole_span = ["doc_id", "text_hash", (F.col("at") - F.col("far")).alias("start"), (F.col("at") - F.col("near") + length).alias("stop")]
     alike = shared.where("not mixed").select(*whole_span)
     mixed = shared.where("mixed")
