@@ -25,11 +25,12 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """Keep documents in one of the languages of the corpus.
 
     Documents without a letter go, and those whose bytes are foreign to the language that fits
-    them best: less familiar than nearly all held-out documents that were told rightly. If no document
-    is labelled there is nothing to tell languages by, and all stay.
+    them best: less familiar than nearly all held-out documents that were told rightly. All labelled documents
+    take part, in full: those outside the held-out fold in the network and the counts of byte pairs, the others in the
+    bound. If no document is labelled there is nothing to tell languages by, and all stay.
     """
     prepared(spark)
-    network = trained(docs)
+    network = trained(docs, on_all=True)
     if network is None:
         return docs.select(*COLUMNS)
     least = least_familiarity(docs, network, id_fold("doc_id", 3) == 1)

@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tidemark.llm import language, mixing, personal, quality
 from tidemark.llm.common import id_fold, prepared
 
@@ -79,6 +80,83 @@ def test_pairs_are_counted_in_each_language():
     assert logs[0, ord("a"), ord("b")] > logs[0, ord("a"), ord("c")] and logs[1, ord("a"), ord("c")] > logs[1, ord("a"), ord("b")]
 
 
+def held_out_or_not(wanted, count):
+    ids = (i for i in range(10**6) if (zlib.crc32(str(i).encode()) % 3 == 1) == wanted)
+    return [next(ids) for _ in range(count)]
+
+
+def words(rng, letters, size):
+    """Words of three to seven letters, beginning and ending with a whole one."""
+    found = []
+    while sum(len(w) + 1 for w in found) < size:
+        found.append("".join(rng.choice(list(letters), rng.integers(3, 8))))
+    return " ".join(found)
+
+
+def test_all_windows_of_all_labelled_texts_are_learned(spark, monkeypatch):
+    """Letters that occur only between the windows of a sample are known, and pairs equal plain counts."""
+    prepared(spark)
+    monkeypatch.setattr(language, "LEAST_LEARNED", 20_000)
+    rng = np.random.default_rng(6)
+    plain, rare = "abcdefghij", "stuvwxyz"
+    rows = []
+    for i in held_out_or_not(False, 60) + held_out_or_not(True, 30):
+        rows.append((i, words(rng, plain, 1_500) + " " + words(rng, rare, 500) + " " + words(rng, plain, 4_500), "aa"))
+        rows.append((i, words(rng, "klmnopqr", 900), "bb"))
+    docs = spark.createDataFrame([*rows, (None, None, "aa"), (None, "", "bb"), (4, "x", None)], "doc_id long, text string, lang string")
+    docs = docs.withColumn("source", F.lit("s")).withColumn("n_chars", F.length("text").cast("long"))
+    network = language.trained(docs, on_all=True)
+    counts = np.zeros((2, 256, 256))
+    for i, text, lang in rows:
+        if zlib.crc32(str(i).encode()) % 3 != 1:
+            data = np.frombuffer(text.encode(), dtype=np.uint8)
+            for at in range(0, len(data), language.WINDOW):
+                window = data[at : at + language.WINDOW]
+                np.add.at(counts["ab".index(lang[0])], (window[:-1], window[1:]), 1)
+    assert network.languages == ["aa", "bb"]
+    assert np.allclose(network.pairs, np.log((counts + 0.02) / (counts + 0.02).sum(axis=2, keepdims=True)), atol=1e-4)
+    new = spark.createDataFrame([(-1, words(rng, rare, 300), None, "s", 300), (-2, words(rng, "0123456789", 200) + " a", None, "s", 202)], docs.select(corpus_pipeline.COLUMNS[0], "text", "lang", "source", "n_chars").schema)
+    kept = corpus_pipeline.known_language(spark, docs.select(*new.columns).unionByName(new), "").select("doc_id").collect()
+    assert {r[0] for r in kept if r[0] is not None and r[0] < 0} == {-1}
+
+
+def test_training_does_not_depend_on_how_rows_are_dealt(spark, monkeypatch):
+    """Several rounds and shards; equal languages are told, and files don't matter."""
+    prepared(spark)
+    monkeypatch.setattr(language, "LEAST_LEARNED", 1)
+    rng = np.random.default_rng(8)
+    rows = [(i % 300, words(rng, ("abcdefg", "hijklmn")[i % 2], 700), ("aa", "bb")[i % 2]) for i in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    one, other = (language.fit_all(docs.repartition(n), F.lit(True), shard_windows=400) for n in (2, 7))
+    for a, b in zip(one.parameters(), other.parameters()):
+        assert np.allclose(a, b, atol=1e-5)
+    assert (one.pairs == other.pairs).all()
+    found = language.identify(docs, one).where("lang = lang_pred").count()
+    assert found >= 0.95 * len(rows)
+
+
+@pytest.mark.parametrize("share", [0, 0.001, 0.37, 0.5, 1])
+def test_quantiles_are_those_of_all_values(spark, share):
+    rng = np.random.default_rng(9)
+    for values in (rng.standard_normal(5_000) * 3, np.round(rng.standard_normal(3_000), 1), np.full(40, -2.5), np.array([1.0]), 1e-12 * rng.random(700) - 2):
+        table = spark.createDataFrame([(float(v),) for v in values] + [(None,)], "v double")
+        assert language.exact_quantile(table, "v", share, parts=8) == pytest.approx(np.quantile(values, share), abs=1e-15)
+    assert language.exact_quantile(table.where("v > 5"), "v", share) is None
+
+
+def test_the_bound_comes_from_all_held_out_texts(spark, network, monkeypatch):
+    """More texts than were drawn before."""
+    prepared(spark)
+    rng = np.random.default_rng(10)
+    monkeypatch.setattr(network, "pairs", rng.standard_normal((3, 256, 256)).astype(np.float32) - 4)
+    rows = [(i, "".join(rng.choice(list("abcdefgh"), 80)), None) for i in range(20_000)]
+    told = language.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string"), network, familiarity="likely")
+    docs = told.select("doc_id", "text", F.col("lang_pred").alias("lang"))
+    likely = [r[0] for r in told.select("likely").collect()]
+    least = language.least_familiarity(docs, network, F.lit(True))
+    assert least == pytest.approx(np.quantile(likely, language.FOREIGN_SHARE) - language.FOREIGN_MARGIN, abs=1e-12)
+
+
 def targets(sizes, weights=(5, 2, 1), most=3):
     """Shares by weight; whoever is above the cap stops there, and the rest is shared again."""
     names = sorted(sizes, key=lambda s: (s is None, s or ""))
